@@ -138,7 +138,7 @@ def sql(query: str) -> str:
 def key_sql(rows: str, name: str, columns: dict[str, str]) -> str:
     """``rows`` numbered by the digest of ``columns``, given as name to kind."""
     def as_text(column: str, kind: str) -> str:
-        c = f"CAST({column} AS DECIMAL(38,6))" if kind == "double" else column
+        c = f"CAST({column} * 1000000 AS BIGINT)" if kind == "double" else column
         return f"coalesce(CAST({c} AS VARCHAR), '~')"
 
     digest = f"md5(concat_ws('|', {', '.join(as_text(c, k) for c, k in columns.items())}))"

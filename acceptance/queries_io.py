@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from acceptance.frames import frame, frames
-from acceptance.queries_model import SALES_KEY, sales_rows
+from acceptance.queries_model import SALES_KEY, monthly_sales, sales_rows
 from acceptance.registry import query
 from tidemark.operators import clean, layout
 from tidemark.plans import facts
@@ -102,7 +102,7 @@ def manifest_ingest(spark, d):
 
 def _monthly_on_disk(spark, d) -> str:
     path = shared_dir(spark, "fact_sales_agg")
-    layout.write_partitioned(facts.agg_sales_monthly(sales_rows(spark, d)), path, "year_month")
+    layout.write_partitioned(monthly_sales(spark, d), path, "year_month")
     return path
 
 
@@ -114,7 +114,7 @@ def scan_partition_folder(spark, d):
 @query("write_partition_month", "SELECT * FROM {monthly}")
 def write_partition_month(spark, d):
     path = shared_dir(spark, "fact_sales_agg")
-    return layout.write_partitioned(facts.agg_sales_monthly(sales_rows(spark, d)), path, "year_month")
+    return layout.write_partitioned(monthly_sales(spark, d), path, "year_month")
 
 
 @query("write_overwrite", "SELECT * FROM {sales}")
@@ -151,13 +151,15 @@ def write_partition_payment(spark, d):
 
 @query("cluster_layout", "SELECT * FROM {sales}")
 def cluster_layout(spark, d):
-    return layout.cluster_layout(stage(sales_rows(spark, d), "fact_sales"), shared_dir(spark, "clustered"), "customer_sk")
+    source, target = shared_dir(spark, "fact_sales"), shared_dir(spark, "clustered")
+    sales_rows(spark, d).write.parquet(source)
+    return layout.cluster_layout(spark, source, target, "customer_sk")
 
 
 @query("compact_files", "SELECT * FROM {monthly}")
 def compact_files(spark, d):
     scattered, compact = shared_dir(spark, "scattered"), shared_dir(spark, "compact")
-    monthly = facts.agg_sales_monthly(sales_rows(spark, d))
+    monthly = monthly_sales(spark, d)
     monthly.repartition(4).write.partitionBy("year_month").parquet(scattered)
     return layout.compact_files(spark, scattered, compact, "year_month")
 

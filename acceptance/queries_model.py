@@ -38,6 +38,10 @@ def sales_rows(spark, d):
     return facts.sales_rows(*frames(spark, d, "f_orders", "f_items", "f_payments", "f_reviews"))
 
 
+def monthly_sales(spark, d):
+    return facts.sales_monthly(*frames(spark, d, "f_orders", "f_items", "f_payments", "f_reviews"))
+
+
 def silver_tables(spark, d):
     return silver.build({e: frame(spark, d, f"raw_{e}") for e in RAW_ENTITIES})
 
@@ -137,14 +141,14 @@ def join_orders_customers_payments(spark, d):
 
 @query("agg_sales_monthly", "SELECT * FROM {monthly}")
 def agg_sales_monthly(spark, d):
-    return facts.agg_sales_monthly(sales_rows(spark, d))
+    return monthly_sales(spark, d)
 
 
 @query("agg_revenue_by_month", """
     SELECT year_month, CAST(sum(CAST(total_sales AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
     FROM {monthly} GROUP BY year_month""")
 def agg_revenue_by_month(spark, d):
-    return facts.agg_revenue_by_month(facts.agg_sales_monthly(sales_rows(spark, d)))
+    return facts.agg_revenue_by_month(monthly_sales(spark, d))
 
 
 @query("table_row_count", "SELECT count(*) AS total_rows FROM {sales}")
@@ -248,7 +252,7 @@ def fact_sales(spark, d):
 @query("fact_sales_agg", key_sql("SELECT * FROM {monthly}", "fact_sales_agg_sk",
                                  kinds("year month product_sk seller_sk")))
 def fact_sales_agg(spark, d):
-    return facts.fact_sales_agg(sales_rows(spark, d))
+    return facts.fact_sales_agg(facts.agg_sales_monthly(sales_rows(spark, d)))
 
 
 @query("bridge_order_items", f"""

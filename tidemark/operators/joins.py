@@ -8,6 +8,27 @@ and AQE splits a hot key. Joins that follow each other on ``order_id`` share one
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.session import stage
+
+HOT_ROWS = 5_000_000  # rows of one key that a task can still take in
+
+
+def left_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Left join whose right side may have very many rows of one key.
+
+    AQE splits a hot key of an inner join on both sides, of a left join on the left side only.
+    So keys that are hot on the right are joined inner, which for them is the same: they have
+    a match. One narrow pass counts the keys; where none is hot, this is the plain left join.
+    """
+    counts = right.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counts.where(F.col("_rows") > hot_rows).select(key)
+    if hot.isEmpty():
+        return left.join(right, key, "left")
+    hot = stage(hot, "hot_keys")
+    others = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
+    return others.unionByName(left.join(hot, key, "left_semi").join(right.join(hot, key, "left_semi"), key))
 
 
 def orders_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -16,7 +37,7 @@ def orders_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def with_payments_and_reviews(lines: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
     """A line is repeated for every payment and review of its order."""
-    return lines.join(payments, "order_id", "left").join(reviews, "order_id", "left")
+    return left_join(left_join(lines, payments, "order_id"), reviews, "order_id")
 
 
 def with_category_translation(products: DataFrame, translation: DataFrame) -> DataFrame:
@@ -28,13 +49,9 @@ def wide_orders(
     products: DataFrame, sellers: DataFrame,
 ) -> DataFrame:
     """Orders with everything known about them, one row per payment and item."""
-    return (
-        orders.join(customers, "customer_id", "left")
-        .join(payments, "order_id", "left")
-        .join(items, "order_id", "left")
-        .join(products, "product_id", "left")
-        .join(sellers, "seller_id", "left")
-    )
+    with_customers = orders.join(customers, "customer_id", "left")
+    lines = left_join(left_join(with_customers, payments, "order_id"), items, "order_id")
+    return lines.join(products, "product_id", "left").join(sellers, "seller_id", "left")
 
 
 def orders_customers_payments(orders: DataFrame, customers: DataFrame, payments: DataFrame) -> DataFrame:

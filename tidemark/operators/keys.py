@@ -8,24 +8,29 @@ from pyspark.sql import types as T
 
 from tidemark.session import stage
 
-BUCKET_DIGITS = 4            # 16^4 = 65,536 buckets of rows
+BUCKET_DIGITS = 4            # 16^4 = 65,536 buckets of rows; a digit more from 10^12 rows on
 COPIES_PER_TASK = 1_000_000  # copies of one row that one task writes out
 UNKNOWN_KEY = -1
 
 
 def row_text(df: DataFrame, columns: list[str]) -> Column:
-    """The given columns as one text, written the same way on every platform."""
+    """The given columns as one text, written the same way on every platform.
+
+    Fractions count to six places. Rows that differ beyond get one text, and so one digest;
+    they are told apart by their columns.
+    """
     parts = []
     for name in columns:
         c = F.col(f"`{name}`")
         if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-            c = c.try_cast("decimal(38,6)")
+            c = F.rint(c * 1_000_000).try_cast("long")
         parts.append(F.coalesce(c.cast("string"), F.lit("~")))
     return F.concat_ws("|", *parts)
 
 
 def surrogate_key(
-    df: DataFrame, name: str, key: list[str] | None = None, copies_per_task: int = COPIES_PER_TASK
+    df: DataFrame, name: str, key: list[str] | None = None, copies_per_task: int = COPIES_PER_TASK,
+    bucket_digits: int = BUCKET_DIGITS,
 ) -> DataFrame:
     """Number the rows 0, 1, 2 … in the order of the MD5 digest of their content.
 
@@ -47,11 +52,12 @@ def surrogate_key(
         groups = df.withColumn("_copies", F.lit(1).cast("long"))
     else:
         groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    digest = F.md5(row_text(df, key or df.columns))
     # "x" sorts behind the hex digits: the large groups are numbered last.
     large = F.col("_copies") > copies_per_task
-    bucket = F.when(large, F.concat(F.lit("x"), digest)).otherwise(F.substring(digest, 1, BUCKET_DIGITS))
-    staged = stage(groups.withColumns({"_digest": digest, "_bucket": bucket}), name)
+    digest = F.col("_digest")
+    bucket = F.when(large, F.concat(F.lit("x"), digest)).otherwise(F.substring(digest, 1, bucket_digits))
+    digested = groups.withColumn("_digest", F.md5(row_text(df, key or df.columns)))
+    staged = stage(digested.withColumn("_bucket", bucket), name)
 
     totals = staged.groupBy("_bucket").agg(F.sum("_copies").alias("_rows"))
     lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -94,8 +100,8 @@ def surrogate_key_lookup(
 def orphan_keys(fact: DataFrame, dim: DataFrame, fact_key: str, natural_key: str) -> DataFrame:
     """Keys of the fact that the dimension lacks, each with the number of fact rows.
 
-    Fact rows are counted per key first: the join sees every key once, hot or not.
+    Both sides are reduced to one row per key first: the join sees no hot key.
     """
     used = fact.where(F.col(fact_key).isNotNull()).groupBy(fact_key).agg(F.count(F.lit(1)).alias("fact_rows"))
-    known = dim.select(F.col(natural_key).alias(fact_key))
+    known = dim.select(F.col(natural_key).alias(fact_key)).distinct()
     return used.join(known, fact_key, "left_anti")

@@ -46,17 +46,18 @@ def write_partitioned(df: DataFrame, path: str, by: str) -> DataFrame:
     return scan_table(df.sparkSession, path, df.schema).select(*[f"`{c}`" for c in df.columns])
 
 
-def cluster_layout(df: DataFrame, path: str, by: str, files: int | None = None) -> DataFrame:
-    """Write ``df`` so that each file covers its own range of ``by``, sorted within.
+def cluster_layout(spark: SparkSession, source: str, target: str, by: str, files: int | None = None) -> DataFrame:
+    """Rewrite a table so that each file covers its own range of ``by``, sorted within.
 
     Readers then skip files and row groups by their min and max. The row id as second range
-    column lets the rows of one hot value fall into several files. Without ``files`` AQE
-    merges neighbouring ranges up to the advisory size.
+    column lets the rows of one hot value fall into several files; it is the same on every
+    attempt of a task, since the rows come straight from files. Without ``files`` AQE merges
+    neighbouring ranges up to the advisory size.
     """
     spread = [F.col(f"`{by}`"), F.col("_row")]
-    ranged = df.withColumn("_row", F.monotonically_increasing_id())
+    ranged = scan_table(spark, source).withColumn("_row", F.monotonically_increasing_id())
     ranged = ranged.repartitionByRange(files, *spread) if files else ranged.repartitionByRange(*spread)
-    return write_overwrite(ranged.sortWithinPartitions(f"`{by}`").drop("_row"), path)
+    return write_overwrite(ranged.sortWithinPartitions(f"`{by}`").drop("_row"), target)
 
 
 def compact_files(spark: SparkSession, source: str, target: str, by: str | None = None) -> DataFrame:

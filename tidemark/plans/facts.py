@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import year_month_label
-from tidemark.functions.money import total
+from tidemark.functions.money import amount, cents, total
 from tidemark.functions.rules import review_sentiment
 from tidemark.operators.clean import fill_nulls
 from tidemark.operators.joins import orders_with_items, with_payments_and_reviews
@@ -58,6 +58,35 @@ def fact_sales(
     return surrogate_key(sales_rows(orders, items, payments, reviews, missing_review), "fact_sales_sk")
 
 
+def sales_monthly(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The monthly sums of ``agg_sales_monthly``, straight from the entities.
+
+    The fan-out is counted, not built: a line counts once per payment and review of its
+    order, so payments and reviews are reduced to one row per order before they are joined.
+    """
+    paid = payments.groupBy("order_id").agg(F.count(F.lit(1)).alias("_payments"))
+    reviewed = reviews.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_reviews"), F.sum("review_score").alias("_scores")
+    )
+    payments_of, reviews_of = F.coalesce("_payments", F.lit(1)), F.coalesce("_reviews", F.lit(1))
+    counted = orders.join(paid, "order_id", "left").join(reviewed, "order_id", "left").select(
+        "order_id",
+        F.year("order_purchase_date").alias("year"),
+        F.month("order_purchase_date").alias("month"),
+        (payments_of * reviews_of).alias("_lines"),
+        (payments_of * F.coalesce("_scores", F.lit(0))).alias("_scores"),
+    )
+    lines = orders_with_items(counted, items.select("order_id", "product_id", "seller_id", "price", "freight_value"))
+    return lines.groupBy(
+        "year", "month", F.col("product_id").alias("product_sk"), F.col("seller_id").alias("seller_sk")
+    ).agg(
+        amount(F.sum(cents(F.col("price")) * F.col("_lines"))).alias("total_sales"),
+        amount(F.sum(cents(F.col("freight_value")) * F.col("_lines"))).alias("total_shipping_cost"),
+        (F.sum("_scores") / F.sum("_lines")).alias("avg_review_score"),
+        F.sum("_lines").alias("total_orders"),
+    ).withColumn("year_month", year_month_label(F.col("year"), F.col("month")))
+
+
 def agg_sales_monthly(sales: DataFrame) -> DataFrame:
     """Monthly sums per product and seller. ``total_orders`` counts fact rows."""
     day = F.col("purchase_date")
@@ -71,9 +100,8 @@ def agg_sales_monthly(sales: DataFrame) -> DataFrame:
     ).withColumn("year_month", year_month_label(F.col("year"), F.col("month")))
 
 
-def fact_sales_agg(sales: DataFrame) -> DataFrame:
-    grouping = ["year", "month", "product_sk", "seller_sk"]
-    return surrogate_key(agg_sales_monthly(sales), "fact_sales_agg_sk", key=grouping)
+def fact_sales_agg(monthly: DataFrame) -> DataFrame:
+    return surrogate_key(monthly, "fact_sales_agg_sk", key=["year", "month", "product_sk", "seller_sk"])
 
 
 def agg_revenue_by_month(monthly: DataFrame) -> DataFrame:

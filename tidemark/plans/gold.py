@@ -44,7 +44,7 @@ def write_gold(silver: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     tables["fact_sales"] = fact
     tables["bridge_order_items"] = write_overwrite(facts.bridge_order_items(fact), f"{root}/bridge_order_items")
     for name, df, by in [
-        ("fact_sales_agg", facts.fact_sales_agg(fact), "year_month"),
+        ("fact_sales_agg", facts.fact_sales_agg(facts.agg_sales_monthly(fact)), "year_month"),
         ("fact_sales_partitioned", fact, "purchase_date"),
         ("fact_order_payments_partitioned", fact, "payment_type"),
     ]:

@@ -31,7 +31,10 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
     partitions so that one fits the memory of a task; AQE merges those that turn out small.
     """
     started_with = {k for k, _ in spark.sparkContext.getConf().getAll()}
-    for name, value in RUNTIME_SETTINGS.items():
+    # Listing the folders of a table by one task each costs more than the listing.
+    listing_tasks = str(4 * spark.sparkContext.defaultParallelism)
+    settings = {**RUNTIME_SETTINGS, "spark.sql.sources.parallelPartitionDiscovery.parallelism": listing_tasks}
+    for name, value in settings.items():
         if name not in started_with:
             spark.conf.set(name, value)
     if shuffle_bytes:
