@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Fixed values of the raw files: separator, quote and escape. The escape must be the same on
-# both sides, else fields that hold quotes come back split.
-CSV_FORMAT = {"sep": ",", "quote": '"', "escape": "\\"}
+# both sides, else fields that hold quotes come back split. Blanks around a field are kept.
+CSV_FORMAT = {
+    "sep": ",", "quote": '"', "escape": "\\", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 def scan_csv_quoted(
