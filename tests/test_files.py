@@ -168,4 +168,5 @@ def test_scratch_folders_lie_in_the_shared_folder(spark):
 
     first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
     assert first != second
-    assert os.path.dirname(first) == f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/tidemark"
+    run = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+    assert os.path.dirname(first) == run

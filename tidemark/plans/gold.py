@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators.layout import write_overwrite, write_partitioned
+from tidemark.operators.layout import cluster_layout, compact_files, write_overwrite, write_partitioned
 from tidemark.plans import dims, facts
 from tidemark.sources.tables import scan_table
 
@@ -52,6 +52,16 @@ def write_gold(silver: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     return tables
 
 
+def relayout(spark: SparkSession, root: str, target: str) -> dict[str, DataFrame]:
+    """Lay out the two tables that are read by range, in new folders below ``target``."""
+    return {
+        "dim_customer": cluster_layout(spark, f"{root}/dim_customer", f"{target}/dim_customer", "customer_city"),
+        "fact_sales_partitioned": compact_files(
+            spark, f"{root}/fact_sales_partitioned", f"{target}/fact_sales_partitioned", "purchase_date", "fact_sales_sk"
+        ),
+    }
+
+
 def publish_views(spark: SparkSession, root: str, names: list[str], prefix: str = "gold_") -> list[str]:
     """One SQL view per table folder below ``root``; partition columns come from the path."""
     for name in names:

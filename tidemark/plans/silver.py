@@ -9,6 +9,7 @@ from tidemark import schemas
 from tidemark.functions.dates import date_parts
 from tidemark.functions.text import collapse_special_runs, full_address
 from tidemark.operators.clean import clean_fields
+from tidemark.operators.layout import write_overwrite
 
 
 def customers(raw: DataFrame) -> DataFrame:
@@ -73,3 +74,8 @@ BUILDERS = {
 
 def build(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: BUILDERS[name](df) for name, df in raw.items()}
+
+
+def write(raw: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Clean every entity and write it below ``root``."""
+    return {name: write_overwrite(df, f"{root}/{name}") for name, df in build(raw).items()}

@@ -47,7 +47,9 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one named in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a folder of this machine.
+    The folders of a run lie together under its application id, so that they can be removed
+    once its results are written. Only a local session without the setting gets a folder of
+    this machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -55,7 +57,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +19,13 @@ def read_mark(spark: SparkSession, marks: str) -> datetime.datetime | None:
 
 
 def _table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    # An empty append makes the folder, so that a first read finds no rows, not no path.
-    spark.createDataFrame([], schema).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    """The table at ``path``; no rows before the first load has written it."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def incremental_load(
