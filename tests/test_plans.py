@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import pathlib
 import re
 
 from pyspark.sql import functions as F
 
 from acceptance.frames import frames
-from tidemark.operators import clean
+from tidemark.operators import clean, joins
 from tidemark.plans import facts, kpis
 
 LIBRARY = pathlib.Path(__file__).parent.parent / "tidemark"
@@ -18,6 +19,19 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@contextlib.contextmanager
+def settings(spark, **values):
+    names = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_library_keeps_data_off_the_driver():
     for source in LIBRARY.rglob("*.py"):
         text = source.read_text()
@@ -46,18 +60,40 @@ def test_scans_read_only_the_columns_needed(spark, sf_dir):
 
 def test_joins_by_order_share_one_shuffle_each_way(spark, sf_dir):
     entities = frames(spark, sf_dir, "f_orders", "f_items", "f_payments", "f_reviews")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(facts.sales_rows(*entities))
-        # Four tables, each shuffled once by the order id; nothing is shuffled again above.
-        assert text.count("Exchange hashpartitioning(order_id") == 4
-        assert text.count("Exchange") == 4
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        fact = facts.sales_rows(*entities)
+        # Four tables, each shuffled once by the order id; nothing is shuffled again above,
+        # not even to count the copies of a row.
+        for df in [fact, fact.groupBy(*fact.columns).count()]:
+            assert plan(df).count("Exchange hashpartitioning(order_id") == 4
+            assert plan(df).count("Exchange") == 4
         monthly = plan(facts.sales_monthly(*entities))
         assert monthly.count("Exchange hashpartitioning(order_id") == 4
         assert monthly.count("Exchange") == 5
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_hot_order_is_split_on_either_side(spark, tmp_path):
+    # A third of the items are of one order; they lie in many files.
+    items = spark.range(0, 60_000, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("order_id"), F.sha2(F.col("id").cast("string"), 256)
+    )
+    items.write.parquet(f"{tmp_path}/items")
+    items = spark.read.parquet(f"{tmp_path}/items")
+    orders = spark.range(60_000).select(F.col("id").alias("order_id"), F.col("id").alias("customer_id"))
+    with settings(
+        spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__advisoryPartitionSizeInBytes="100k",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="200k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    ):
+        for joined, split in [
+            (joins.orders_with_items(orders, items), True),
+            (items.join(orders, "order_id", "left"), True),
+            (orders.join(items, "order_id", "left"), False),
+            (joins.left_join(orders, items, "order_id", hot_rows=1000), True),
+        ]:
+            used = joined.agg(F.sum(F.hash(*joined.columns).cast("long")))
+            used.collect()
+            assert ("skew=true" in plan(used)) == split
 
 
 def test_windows_without_partition_run_over_reduced_rows(spark, sf_dir):
