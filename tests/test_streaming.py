@@ -61,9 +61,9 @@ def test_stream_equals_batch_on_closed_days(spark, tmp_path, sf_dir):
     assert (feed.agg(F.max("ts")).first()[0].date() - last).days == 2
 
 
-def _load(spark, tmp_path, data, **kwargs):
+def _load(spark, tmp_path, data, marks="marks", **kwargs):
     feed = spark.createDataFrame(data, SCHEMA)
-    return incremental.incremental_load(feed, f"{tmp_path}/t", f"{tmp_path}/marks", "ts", ["event_id"], **kwargs)
+    return incremental.incremental_load(feed, f"{tmp_path}/t", f"{tmp_path}/{marks}", "ts", ["event_id"], **kwargs)
 
 
 def test_load_takes_new_rows_once(spark, tmp_path):
@@ -82,10 +82,23 @@ def test_load_takes_late_rows_within_the_lateness(spark, tmp_path):
 
 def test_load_that_broke_off_before_its_mark_is_repeated_safely(spark, tmp_path):
     _load(spark, tmp_path, [(1, _ts(1), "view")])
-    spark.createDataFrame([(2, _ts(2), "view")], SCHEMA).write.mode("append").parquet(f"{tmp_path}/t")
+    _load(spark, tmp_path, [(2, _ts(2), "view")], marks="lost_marks")
+    assert incremental.read_mark(spark, f"{tmp_path}/marks") == _ts(1)
     assert rows(_load(spark, tmp_path, [(2, _ts(2), "view"), (3, _ts(3), "view")]).select("event_id")) == [(1,), (2,), (3,)]
 
 
+def test_load_opens_only_the_last_days_of_the_target(spark, tmp_path):
+    _load(spark, tmp_path, [(d, _ts(d), "view") for d in range(1, 29)])
+    # A file of an old day that cannot be read.
+    folder = f"{tmp_path}/t/_day=2024-01-03"
+    for name in os.listdir(folder):
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(b"not parquet")
+    _load(spark, tmp_path, [(28, _ts(28), "view"), (29, _ts(29), "view")], lateness=datetime.timedelta(days=2))
+    assert sorted(os.listdir(f"{tmp_path}/t"))[-1] == "_day=2024-01-29"
+    assert len([f for f in os.listdir(f"{tmp_path}/t/_day=2024-01-28") if f.endswith(".parquet")]) == 1
+
+
 def test_history_has_a_version_per_change(spark):
     d = datetime.date
     feed = spark.createDataFrame([

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from tidemark.operators.clean import dedupe_by_key
 
+DAY = "_day"
+
 
 def read_mark(spark: SparkSession, marks: str) -> datetime.datetime | None:
     """The stored high-water mark: the largest of all that loads have recorded."""
@@ -35,22 +37,23 @@ def incremental_load(
 
     Rows up to ``lateness`` older than the mark are looked at again. Keys the target already
     has are left out, so a load that is repeated, or that broke off before it recorded its
-    mark, adds nothing twice. Only the end of the target is read for that: the time filter
-    reaches the scan on both sides.
+    mark, adds nothing twice. The target is partitioned by day: only its last days are opened
+    for that.
     """
     spark = feed.sparkSession
+    time_type = feed.schema[ts].dataType
+    stored = T.StructType([*feed.schema.fields, T.StructField(DAY, T.DateType())])
     mark = read_mark(spark, marks)
-    loaded = _table_or_empty(spark, target, feed.schema)
-    seen = loaded
-    if mark is not None:
-        since = F.lit(mark - lateness).cast(feed.schema[ts].dataType)
-        feed = feed.where(F.col(ts) > since)
-        seen = loaded.where(F.col(ts) > since)
-    fresh = dedupe_by_key(feed, key, [ts]).join(seen.select(*key), key, "left_anti")
-    fresh.select(*loaded.columns).write.mode("append").parquet(target)
-
-    after = spark.read.schema(loaded.schema).parquet(target)
+    seen = _table_or_empty(spark, target, stored)
     if mark is not None:
-        after = after.where(F.col(ts) >= F.lit(mark).cast(loaded.schema[ts].dataType))
-    after.agg(F.max(ts).cast("timestamp_ntz").alias("mark")).write.mode("append").parquet(marks)
-    return spark.read.schema(loaded.schema).parquet(target)
+        since = mark - lateness
+        newer = F.col(ts) > F.lit(since.isoformat(" ")).cast(time_type)
+        feed = feed.where(newer)
+        seen = seen.where((F.col(DAY) >= F.lit(since.date())) & newer)
+    fresh = dedupe_by_key(feed, key, [ts]).join(seen.select(*key), key, "left_anti").withColumn(DAY, F.to_date(ts))
+    fresh.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(target)
+
+    after = spark.read.schema(stored).parquet(target)
+    last_days = after if mark is None else after.where(F.col(DAY) >= F.lit(mark.date()))
+    last_days.agg(F.max(ts).cast("timestamp_ntz").alias("mark")).write.mode("append").parquet(marks)
+    return after.drop(DAY)
