@@ -95,9 +95,11 @@ def manifest_ingest(spark, d):
     reviews = csv.scan_csv_quoted(
         spark, paths["order_reviews.csv"], ["order_id", "review_comment_message"], multi_line=True
     )
-    return payments.select(F.lit("order_payments.csv").alias("file_name"), "order_id", F.col("payment_value").alias("value")).unionByName(
-        reviews.select(F.lit("order_reviews.csv").alias("file_name"), "order_id", F.col("review_comment_message").alias("value"))
-    )
+    return payments.select(
+        F.lit("order_payments.csv").alias("file_name"), "order_id", F.col("payment_value").alias("value")
+    ).unionByName(reviews.select(
+        F.lit("order_reviews.csv").alias("file_name"), "order_id", F.col("review_comment_message").alias("value")
+    ))
 
 
 def _monthly_on_disk(spark, d) -> str:
