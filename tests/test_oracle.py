@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from acceptance.compare import differences
-
-QUERIES, ORACLE = queries(), oracle_sql()
+from acceptance.registry import ORACLE, QUERIES
 
 
 def test_every_query_has_an_oracle():
