@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, mixing, near_dedup, packing
+from tidemark.llm import exact_dedup, lm, mixing, near_dedup, packing
 from tidemark.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op3(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+@query("op6_lm_score")
+def op6(spark, sf_dir):
+    return lm.score(documents(spark, sf_dir))
+
+
 @query("op9_near_dedup")
 def op9(spark, sf_dir):
     return near_dedup.near_dedup(documents(spark, sf_dir), words=2, percent=80)
