@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, lm, mixing, near_dedup, packing
+from tidemark.llm import ann, exact_dedup, lm, mixing, near_dedup, packing, token_files, warc
 from tidemark.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +31,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op1_ann")
+def op1(spark, sf_dir):
+    return ann.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query("op2_packing")
 def op2(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
@@ -45,6 +51,16 @@ def op6(spark, sf_dir):
     return lm.score(documents(spark, sf_dir))
 
 
+@query("op7_token_files")
+def op7(spark, sf_dir):
+    return token_files.encode_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_warc", warc.ORACLE_SQL)
+def op8(spark, sf_dir):
+    return warc.archive(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query("op9_near_dedup")
 def op9(spark, sf_dir):
     return near_dedup.near_dedup(documents(spark, sf_dir), words=2, percent=80)
