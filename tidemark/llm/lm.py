@@ -371,7 +371,7 @@ def score(docs: DataFrame, divisor: int = HELD_OUT_MOD, rest: int = HELD_OUT_IS)
 
     def judge(parts):
         opened = model.open()
-        for ids, batch in batches(parts):
+        for ids, batch in batches(parts, most=4 << 20):
             tokens, known, base, found = opened.score(batch)
             yield pa.RecordBatch.from_arrays([
                 *ids.columns, pa.array(tokens.astype(np.int64)), pa.array(known), pa.array(np.full(len(batch), model.tokens)),

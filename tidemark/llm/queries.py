@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, exact_dedup, lm, mixing, near_dedup, packing, token_files, warc
+from tidemark.llm import ann, exact_dedup, licenses, lm, mixing, near_dedup, packing, token_files, toxicity, warc
 from tidemark.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +47,16 @@ def op3(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+@query("op4_licenses")
+def op4(spark, sf_dir):
+    return licenses.scan(documents(spark, sf_dir))
+
+
+@query("op5_toxicity")
+def op5(spark, sf_dir):
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query("op6_lm_score")
 def op6(spark, sf_dir):
     return lm.score(documents(spark, sf_dir))
@@ -69,3 +80,8 @@ def op9(spark, sf_dir):
 @query("op10_mixing")
 def op10(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).drop("mark")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
