@@ -15,7 +15,7 @@ from tidemark.session import stage
 
 BANDS, ROWS = 40, 6     # two sets of similarity 0.8 miss all bands once in 190,000 pairs
 MARGIN = 0.13           # five standard deviations of a similarity of 0.8 seen through 240 minima
-BLOCK = 512             # members of a bucket compared in one task, with as many others
+BLOCK = 1024            # members of a bucket compared in one task, with as many others
 _SEED = 0x5EED
 
 
