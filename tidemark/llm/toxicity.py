@@ -66,7 +66,7 @@ class Model:
     bias: float
     start: float              # odds
     step: np.ndarray
-    scale: tuple              # of the logistic curve over the log of the expected number of toxic tokens
+    scale: tuple              # of the logistic curve over the log of the sum of squared marginals
 
     def found(self, word: bytes) -> list[int]:
         return [self.cues[c] for c in cues(word) if c in self.cues]
@@ -226,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         last = slope
         model = Model(chosen, np.append(theta[:n], 0.0), float(theta[n]), float(np.exp(theta[n + 1])),
                       np.exp(np.array([[0.0, theta[n + 2]], [theta[n + 3], theta[n + 4]]])), model.scale)
-    # The curve: a logistic regression of the label on the log of the expected number of toxic tokens.
+    # The curve: a logistic regression of the label on the log of that sum.
     second = rows.where("half = 1").select("toxic", "text")
 
     def expected(parts):
@@ -251,7 +251,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def _sums(p: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    return np.diff(np.concatenate([[0.0], np.cumsum(p)])[begins])
+    """Per text the sum of the squared marginals: many faint ones do not add up to a toxic token."""
+    return np.diff(np.concatenate([[0.0], np.cumsum(p * p)])[begins])
 
 
 def _spans(text: bytes, p: np.ndarray) -> list[dict]:
@@ -296,8 +297,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, spans.
 
     The field gives each token the chance of being toxic, from its cues and its neighbours.
-    ``score``, between 0 and 1, grows with the expected number of toxic tokens of the whole
-    text; ``predicted`` is 1 from THRESHOLD on; ``spans`` are the offsets of the characters of
+    ``score``, between 0 and 1, grows with the sum of the squared marginals of the
+    whole text; ``predicted`` is 1 from THRESHOLD on; ``spans`` are the offsets of the characters of
     the tokens likelier toxic than not. Only the text is looked at.
 
     A document is held out if crc32 of its id as text leaves HELD_OUT_IS modulo HELD_OUT_MOD; a
