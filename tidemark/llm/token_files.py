@@ -31,7 +31,9 @@ END_ID = 0
 ROWS_PER_FILE = 4096
 SAMPLE_DOCS, SAMPLE_CHARS = 512, 8192   # the dictionary is trained on so many texts of up to so many characters
 DICTIONARY_BYTES = 32_768
-KNOWN_PIECES = 400_000                  # pieces whose ids a worker remembers
+KNOWN_PIECES = 200_000                  # pieces whose ids a worker remembers, and as many it may add at a time
+PIECES_AT_ONCE = 10_000                 # pieces encoded as one text
+BATCH_BYTES = 2 << 20
 LEVEL = 3
 _MAGIC = b"TMTOK1"
 _FOOTER = "<QB6s"
@@ -44,21 +46,40 @@ class Encoder:
 
     The vocabulary cuts a text at blanks before anything else, and a single space goes with the
     word behind it. So a text without runs of blanks has the ids of its pieces, cut before each
-    space, one after another. Any other text is encoded whole.
+    space, one after another. Pieces not met before are encoded as one text, whose ids are cut
+    where the bytes of a piece end. Any other text is encoded whole.
     """
 
     def __init__(self, path: str, dtype: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # what looks like a special token is text
-        self.dtype, self.known = dtype, {}
+        self.dtype, self.width, self.known, self.firsts = dtype, int(dtype[-1]), {}, {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():  # byte-level: a character of a token is a byte
+            self.sizes[number] = len(token)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
+    def _learn(self, pieces: list[str]) -> None:
+        for i in range(0, len(pieces), PIECES_AT_ONCE):
+            some = pieces[i:i + PIECES_AT_ONCE]
+            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, np.int64)
+            ends = np.cumsum([len(p.encode()) + 1 for p in some])
+            bytes_ = np.cumsum(self.sizes[ids])
+            cuts = np.searchsorted(bytes_, ends) + 1
+            if not np.array_equal(bytes_[cuts - 1], ends):
+                raise ValueError("the ids of a piece go beyond its end; the vocabulary does not cut at blanks")
+            raw, cuts = ids.astype(self.dtype).tobytes(), (cuts * self.width).tolist()
+            self.known.update(zip(some, (raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)), strict=True))
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if len(self.known) > KNOWN_PIECES:
-            self.known = {}
+            self.known.clear()
+        if len(self.firsts) > KNOWN_PIECES:
+            self.firsts = {"": b""}
         cut, whole = [], []
         for raw in texts:
             text = raw.decode()
@@ -66,13 +87,16 @@ class Encoder:
                 whole.append(text)
                 cut.append(None)
             else:
-                first, *others = text.split(" ")
-                cut.append([first, *[" " + p for p in others]])
-        new = list({p for pieces in cut if pieces for p in pieces if p not in self.known})
-        self.known.update(zip(new, self._encode(new), strict=True))
+                cut.append(text.split(" "))
+        self._learn(list({p for pieces in cut if pieces for p in pieces[1:] if p not in self.known}))
+        first = list({pieces[0] for pieces in cut if pieces and pieces[0] not in self.firsts})
+        self.firsts.update(zip(first, self._encode(first), strict=True))
         wholes = iter(self._encode(whole))
         end = np.array([END_ID], self.dtype).tobytes()
-        return [(b"".join(map(self.known.__getitem__, pieces)) if pieces else next(wholes)) + end for pieces in cut]
+        return [
+            (self.firsts[pieces[0]] + b"".join(map(self.known.__getitem__, pieces[1:])) if pieces else next(wholes)) + end
+            for pieces in cut
+        ]
 
 
 def id_type(path: str) -> str:
@@ -118,7 +142,7 @@ def write_files(docs: DataFrame, folder: str, path: str, rows: int) -> DataFrame
         encode, compress = Encoder(path, dtype), zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(content))
         part, index, at = TaskContext.get().partitionId(), [], len(_MAGIC) + len(digest)
         name = f"{folder}/ids-{part:08d}"
-        groups = batches(parts)
+        groups = batches(parts, most=BATCH_BYTES)
         group = next(groups, None)
         if group is None:
             return
