@@ -31,14 +31,15 @@ END_ID = 0
 ROWS_PER_FILE = 4096
 SAMPLE_DOCS, SAMPLE_CHARS = 512, 8192   # the dictionary is trained on so many texts of up to so many characters
 DICTIONARY_BYTES = 32_768
-KNOWN_PIECES = 200_000                  # pieces whose ids a worker remembers, and as many it may add at a time
+KNOWN_PIECES = 600_000                  # pieces whose ids a worker remembers
 PIECES_AT_ONCE = 10_000                 # pieces encoded as one text
 BATCH_BYTES = 2 << 20
 LEVEL = 3
 _MAGIC = b"TMTOK1"
 _FOOTER = "<QB6s"
-# Only a space between two non-blanks begins a piece for certain; other texts are encoded whole.
-_UNSURE = re.compile(r"\s \s|\s $|^ \s|^ $| \s")
+# A space before a blank does not begin a piece for certain; such texts are encoded whole.
+_UNSURE = re.compile(r" \s")
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
 class Encoder:
@@ -83,7 +84,7 @@ class Encoder:
         cut, whole = [], []
         for raw in texts:
             text = raw.decode()
-            if _UNSURE.search(text):
+            if text.endswith(" ") or _UNSURE.search(text):
                 whole.append(text)
                 cut.append(None)
             else:
@@ -99,6 +100,13 @@ class Encoder:
         ]
 
 
+def encoder(path: str, dtype: str) -> Encoder:
+    """The encoder of this worker, which outlives a task."""
+    if (path, dtype) not in _ENCODERS:
+        _ENCODERS[path, dtype] = Encoder(path, dtype)
+    return _ENCODERS[path, dtype]
+
+
 def id_type(path: str) -> str:
     return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
 
@@ -106,19 +114,28 @@ def id_type(path: str) -> str:
 def train_dictionary(docs: DataFrame, path: str, dtype: str) -> bytes:
     """A zstandard dictionary from the ids of a bounded sample; empty where there is too little to learn from.
 
-    The sample is the SAMPLE_DOCS texts of up to SAMPLE_CHARS characters with the lowest hash.
+    The sample is the SAMPLE_DOCS different texts of up to SAMPLE_CHARS characters with the lowest
+    hash. Only hashes are ranked; texts come to the driver for those that are chosen.
     """
     text = F.col("text")
-    short = docs.where(text.isNotNull() & (F.length(text) <= SAMPLE_CHARS)).select("text").orderBy(F.xxhash64(text), text)
-    samples = Encoder(path, dtype)([r.text.encode() for r in short.limit(SAMPLE_DOCS).collect()])
+    short = docs.where(text.isNotNull() & (F.length(text) <= SAMPLE_CHARS)).select(F.xxhash64(text).alias("place"), "text")
+    lowest = short.groupBy("place").agg(F.lit(1).alias("one")).orderBy("place").limit(SAMPLE_DOCS).select("place")
+    chosen = short.join(F.broadcast(lowest), "place").groupBy("place").agg(F.min("text").alias("text")).collect()
+    samples = Encoder(path, dtype)([r.text.encode() for r in sorted(chosen)])
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
         return b""
 
 
-def _dictionary(content: bytes) -> zstandard.ZstdCompressionDict | None:
-    return zstandard.ZstdCompressionDict(content) if content else None
+def _dictionary(content: bytes, level: int | None = None) -> zstandard.ZstdCompressionDict | None:
+    """The dictionary, made ready once where it is to compress many documents."""
+    if not content:
+        return None
+    dictionary = zstandard.ZstdCompressionDict(content)
+    if level:
+        dictionary.precompute_compress(level=level)
+    return dictionary
 
 
 _INDEX = pa.schema([("doc_id", pa.int64()), ("offset", pa.int64()), ("size", pa.int64()), ("n_tokens", pa.int64())])
@@ -139,7 +156,7 @@ def write_files(docs: DataFrame, folder: str, path: str, rows: int) -> DataFrame
     ).repartitionByRange(max(1, -(-rows // ROWS_PER_FILE)), *order).sortWithinPartitions(*order)
 
     def write(parts):
-        encode, compress = Encoder(path, dtype), zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(content))
+        encode, compress = encoder(path, dtype), zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(content, LEVEL))
         part, index, at = TaskContext.get().partitionId(), [], len(_MAGIC) + len(digest)
         name = f"{folder}/ids-{part:08d}"
         groups = batches(parts, most=BATCH_BYTES)
