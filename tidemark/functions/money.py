@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 
 def cents(amount: Column) -> Column:
-    return F.rint(amount * 100).cast("long")
+    """Whole cents, rounded beyond two decimals; null for NaN, infinities and what no long holds."""
+    return F.rint(F.when(~F.isnan(amount), amount) * 100).try_cast("long")
 
 
 def amount(total_cents: Column) -> Column:

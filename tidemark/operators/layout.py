@@ -72,6 +72,8 @@ def compact_files(
 
     The target must be a new folder: readers of plain files would see both copies otherwise.
     """
+    if source.rstrip("/") == target.rstrip("/"):
+        raise ValueError(f"{target} already exists: it is the table itself, which an attempt that fails would lose")
     table = scan_table(spark, source)
     if by:
         return write_partitioned(table, target, by, cluster_by)

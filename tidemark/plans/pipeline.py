@@ -17,15 +17,21 @@ MULTI_LINE = {"order_reviews"}
 def run(spark: SparkSession, manifest: str, landing: str, root: str, entities: dict[str, str]) -> list[str]:
     """Ingest the files a manifest lists, clean, model, publish.
 
-    ``entities`` gives the entity of each file name. Bronze, Silver and Gold lie below
+    ``entities`` gives the entity of each file name; all files of an entity are read together. Bronze, Silver and Gold lie below
     ``root``; returns the names of the views.
     """
     tune(spark)
     with_breaks = {name for name, entity in entities.items() if entity in MULTI_LINE}
     bronze = manifest_ingest(spark, manifest, landing, f"{root}/bronze", with_breaks)
+    unknown = sorted(set(bronze) - set(entities))
+    if unknown:
+        raise ValueError(f"listed files without an entity: {', '.join(unknown)}")
+    paths: dict[str, list[str]] = {}
+    for name, path in bronze.items():
+        paths.setdefault(entities[name], []).append(path)
     raw = {
-        entities[name]: scan_csv_quoted(spark, path, [f.source for f in ENTITIES[entities[name]]], name in with_breaks)
-        for name, path in bronze.items()
+        entity: scan_csv_quoted(spark, files, [f.source for f in ENTITIES[entity]], entity in MULTI_LINE)
+        for entity, files in paths.items()
     }
     cleaned = silver.write(raw, f"{root}/silver")
     gold.write_gold(cleaned, f"{root}/gold")

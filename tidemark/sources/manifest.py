@@ -32,6 +32,8 @@ def manifest_ingest(
     copied = {}
     for entry in read_manifest(spark, manifest_path).where(F.col("file_name").isNotNull()).toLocalIterator():
         name = entry.file_name
+        if name in copied:
+            raise ValueError(f"the manifest lists {name} twice")
         rows = spark.read.options(**CSV_FORMAT, header=True, multiLine=name in multi_line).csv(
             f"{landing.rstrip('/')}/{entry.csv_relative_url}"
         )

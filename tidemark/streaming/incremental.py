@@ -33,7 +33,7 @@ def _table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def incremental_load(
     feed: DataFrame, target: str, marks: str, ts: str, key: list[str], lateness: datetime.timedelta = datetime.timedelta(0)
 ) -> DataFrame:
-    """Append the rows of ``feed`` newer than the mark to ``target``, then record the new mark.
+    """Append the rows of ``feed`` from the mark on, and those without a time, to ``target``, then record the new mark.
 
     Rows up to ``lateness`` older than the mark are looked at again. Keys the target already
     has are left out, so a load that is repeated, or that broke off before it recorded its
@@ -47,9 +47,11 @@ def incremental_load(
     seen = _table_or_empty(spark, target, stored)
     if mark is not None:
         since = mark - lateness
-        newer = F.col(ts) > F.lit(since.isoformat(" ")).cast(time_type)
+        # A row at the mark may come late; keys keep the others from being added twice. Rows
+        # without a time are looked at on every load, against those of the day without a date.
+        newer = (F.col(ts) >= F.lit(since.isoformat(" ")).cast(time_type)) | F.col(ts).isNull()
         feed = feed.where(newer)
-        seen = seen.where((F.col(DAY) >= F.lit(since.date())) & newer)
+        seen = seen.where(((F.col(DAY) >= F.lit(since.date())) | F.col(DAY).isNull()) & newer)
     fresh = dedupe_by_key(feed, key, [ts]).join(seen.select(*key), key, "left_anti").withColumn(DAY, F.to_date(ts))
     fresh.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(target)
 
