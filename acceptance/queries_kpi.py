@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from acceptance.frames import frame, frames
 from acceptance.registry import query
 from tidemark.plans import kpis
-from tidemark.session import shared_dir
+from tidemark.session import shared_dir, stage
 from tidemark.streaming import events, incremental, scd2
 
 
@@ -157,6 +157,30 @@ def scd2_merge(spark, d):
     return scd2.scd2_merge(frame(spark, d, "f_changes"), ["customer_id"], "effective_date", ["segment"])
 
 
+# Last type of each user and day by time, then by id: the feed has several events a day.
+EVENT_HISTORY = """
+    SELECT user_id, event_type, day AS valid_from, lead(day) OVER w AS valid_to, lead(day) OVER w IS NULL AS is_current
+    FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY day) AS before, row_number() OVER
+        (PARTITION BY user_id ORDER BY day) AS n
+      FROM (SELECT user_id, CAST(ts AS DATE) AS day, event_type FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1))
+    WHERE n = 1 OR before IS DISTINCT FROM event_type
+    WINDOW w AS (PARTITION BY user_id ORDER BY day)"""
+
+
+@query("scd2_merge_times", EVENT_HISTORY)
+def scd2_merge_times(spark, d):
+    return scd2.scd2_merge(frame(spark, d, "events"), ["user_id"], "ts", ["event_type"], sequence=["event_id"])
+
+
+@query("scd2_update", EVENT_HISTORY)
+def scd2_update(spark, d):
+    feed, halfway = frame(spark, d, "events"), F.lit("2024-01-16").cast("timestamp_ntz")
+    by = (["user_id"], "ts", ["event_type"], ["event_id"])
+    history = stage(scd2.scd2_merge(feed.where(F.col("ts") < halfway), *by), "history")
+    return scd2.scd2_update(history, feed.where(F.col("ts") >= halfway), *by)
+
+
 @query("incremental_load", "SELECT * FROM events")
 def incremental_load(spark, d):
     feed = frame(spark, d, "events")

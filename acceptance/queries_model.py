@@ -52,6 +52,14 @@ def surrogate_key(spark, d):
     return keys.surrogate_key(frame(spark, d, "f_dirty"), "row_sk")
 
 
+@query("surrogate_key_hot_copies", key_sql(
+    "SELECT payment_type, payment_installments FROM {f_dirty}", "row_sk", kinds("payment_type payment_installments")))
+def surrogate_key_hot_copies(spark, d):
+    # Few different rows, each with far more copies than a task writes out.
+    few = frame(spark, d, "f_dirty").select("payment_type", "payment_installments")
+    return keys.surrogate_key(few, "row_sk", copies_per_task=10)
+
+
 @query("surrogate_key_lookup", f"""
     SELECT s.* REPLACE (coalesce(c.sk, -1) AS customer_sk, coalesce(p.sk, -1) AS product_sk,
       coalesce(v.sk, -1) AS seller_sk)

@@ -113,3 +113,28 @@ def test_history_has_a_version_per_change(spark):
         (2, None, d(2020, 1, 1), d(2020, 1, 5), False),
         (2, "C", d(2020, 1, 5), None, True),
     ]
+
+
+def test_last_row_of_a_day_wins(spark):
+    t = datetime.datetime
+    feed = spark.createDataFrame([
+        (1, t(2020, 1, 1, 8), 1, "Z"), (1, t(2020, 1, 1, 20), 1, "A"),  # the later time, not the greater value
+        (2, t(2020, 1, 1, 8), 2, "A"), (2, t(2020, 1, 1, 8), 1, "Z"),   # one time: the sequence decides
+        (2, t(2020, 1, 2, 8), 1, "A"),                                  # repeats the day before
+    ], "id int, at timestamp, seq int, segment string")
+    got = scd2.scd2_merge(feed, ["id"], "at", ["segment"], sequence=["seq"]).orderBy("id").collect()
+    day = datetime.date(2020, 1, 1)
+    assert [tuple(r) for r in got] == [(1, "A", day, None, True), (2, "A", day, None, True)]
+
+
+def test_changes_merge_into_a_stored_history(spark):
+    d = datetime.date
+    schema = "id int, day date, segment string"
+    old = [(1, d(2020, 1, 1), "A"), (1, d(2020, 2, 1), "B"), (2, d(2020, 1, 1), "C"), (3, d(2020, 1, 1), None)]
+    new = [(1, d(2020, 2, 1), "A"), (1, d(2020, 3, 1), "D"), (3, d(2020, 2, 1), None), (4, d(2020, 3, 1), "E")]
+    history = scd2.scd2_merge(spark.createDataFrame(old, schema), ["id"], "day", ["segment"])
+    got = scd2.scd2_update(history, spark.createDataFrame(new, schema), ["id"], "day", ["segment"])
+    assert rows(got) == rows(spark.createDataFrame([
+        (1, "A", d(2020, 1, 1), d(2020, 3, 1), False), (1, "D", d(2020, 3, 1), None, True),
+        (2, "C", d(2020, 1, 1), None, True), (3, None, d(2020, 1, 1), None, True), (4, "E", d(2020, 3, 1), None, True),
+    ], got.schema))

@@ -42,20 +42,16 @@ def surrogate_key(
     buckets are even whatever the data looks like, and no sampling pass is needed. A row's
     number is the rows in lower buckets plus its place within its bucket. Copies are counted,
     partially before the shuffle, and written out again at the end; a row with more than
-    ``copies_per_task`` copies is a bucket of its own, which several tasks write out.
+    ``copies_per_task`` copies is written out by several tasks. Neither limit changes a number.
 
     The frame is computed once and staged; the bucket totals read two columns of that table.
-    Totals have 65,536 rows plus one per million copies of a row.
     """
     columns = [f"`{c}`" for c in df.columns]
     if key:
         groups = df.withColumn("_copies", F.lit(1).cast("long"))
     else:
         groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    # "x" sorts behind the hex digits: the large groups are numbered last.
-    large = F.col("_copies") > copies_per_task
-    digest = F.col("_digest")
-    bucket = F.when(large, F.concat(F.lit("x"), digest)).otherwise(F.substring(digest, 1, bucket_digits))
+    bucket = F.substring("_digest", 1, bucket_digits)
     digested = groups.withColumn("_digest", F.md5(row_text(df, key or df.columns)))
     staged = stage(digested.withColumn("_bucket", bucket), name)
 
@@ -66,19 +62,21 @@ def surrogate_key(
     # The join below works on the partitioning and order that the window leaves behind.
     place = Window.partitionBy("_bucket").orderBy("_digest", *columns)
     before = F.coalesce(F.sum("_copies").over(place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    start = F.col("_offset") + F.col("_before")
-    numbered = staged.where(~large).withColumn("_before", before).join(offsets, "_bucket")
+    numbered = staged.withColumn("_before", before).join(offsets, "_bucket").withColumn(
+        "_start", F.col("_offset") + F.col("_before")
+    )
     if key:
-        return numbered.select(start.alias(name), *columns)
-    small = numbered.select(F.explode(F.sequence(start, start + F.col("_copies") - 1)).alias(name), *columns)
+        return numbered.select(F.col("_start").alias(name), *columns)
+    large = F.col("_copies") > copies_per_task
+    end = F.col("_start") + F.col("_copies") - 1
+    small = numbered.where(~large).select(F.explode(F.sequence("_start", end)).alias(name), *columns)
 
-    chunk_start = F.col("_chunk") * copies_per_task
-    chunk_end = F.least(chunk_start + copies_per_task, F.col("_copies")) - 1
-    chunks = staged.where(large).join(offsets, "_bucket").withColumn(
+    first = F.col("_start") + F.col("_chunk") * copies_per_task
+    chunks = numbered.where(large).withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {copies_per_task}")))
     )
-    spread = chunks.repartition("_bucket", "_chunk").select(
-        F.explode(F.sequence(F.col("_offset") + chunk_start, F.col("_offset") + chunk_end)).alias(name), *columns
+    spread = chunks.repartition("_digest", "_chunk").select(
+        F.explode(F.sequence(first, F.least(first + copies_per_task - 1, end))).alias(name), *columns
     )
     return small.unionByName(spread)
 

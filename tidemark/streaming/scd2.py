@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def scd2_merge(changes: DataFrame, key: list[str], day: str, attributes: list[str]) -> DataFrame:
+def scd2_merge(
+    changes: DataFrame, key: list[str], day: str, attributes: list[str], sequence: list[str] | None = None
+) -> DataFrame:
     """Type-2 history from a feed of attribute values: valid_from, valid_to, is_current.
 
     A row that repeats the values before it opens no version. ``valid_to`` is the day the
     next version starts; it is null for the current one. Where a key has several rows on a
-    day, the greatest values win: the feed is reduced to one row per key and day before the
-    shuffle, so that a key has no more rows than there are days.
+    day, the last wins: by the time in ``day``, then by the columns ``sequence``, and only
+    among rows equal in both by the greatest values. The feed is reduced to one row per key
+    and day before the shuffle, so that a key has no more rows than there are days.
     """
-    values = F.struct(*attributes)
-    daily = changes.groupBy(*key, F.col(day).cast("date").alias("valid_from")).agg(F.max(values).alias("_now"))
+    values = F.struct(*attributes).alias("values")
+    last = F.max(F.struct(F.col(day).alias("at"), *[F.col(c).alias(f"by_{c}") for c in sequence or []], values))
+    daily = changes.groupBy(*key, F.col(day).cast("date").alias("valid_from")).agg(last["values"].alias("_now"))
     by_day = Window.partitionBy(*key).orderBy("valid_from")
     versions = daily.withColumn("_before", F.lag("_now").over(by_day)).where(~F.col("_now").eqNullSafe(F.col("_before")))
     valid_to = F.lead("valid_from").over(by_day)
@@ -23,3 +30,28 @@ def scd2_merge(changes: DataFrame, key: list[str], day: str, attributes: list[st
         *key, *[F.col(f"_now.{a}").alias(a) for a in attributes], "valid_from",
         valid_to.alias("valid_to"), valid_to.isNull().alias("is_current"),
     )
+
+
+def scd2_update(
+    history: DataFrame, changes: DataFrame, key: list[str], day: str, attributes: list[str],
+    sequence: list[str] | None = None,
+) -> DataFrame:
+    """The stored history with new changes merged in: what ``scd2_merge`` gives for all rows.
+
+    Only the keys that changes name are versioned anew; all other versions pass through. A
+    change replaces the stored version of its day. A change of an earlier day is placed where
+    it belongs, but a repeat that the history has left out cannot open a version behind it.
+    """
+    named = changes.select(*key).distinct()
+    same = reduce(and_, [F.col(f"h.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key])
+    stored = history.alias("h")
+    opened = stored.join(named.alias("n"), same, "left_semi")
+    first, last = F.lit(0).alias("_new"), F.lit(1).alias("_new")
+    # One row for each key and day of the changes, the last; then the stored ones join in.
+    order = F.struct(F.col(day).alias("at"), *[F.col(c).alias(f"by_{c}") for c in sequence or []], F.struct(*attributes).alias("values"))
+    newest = changes.groupBy(*key, F.col(day).cast("date").alias("valid_from")).agg(F.max(order)["values"].alias("_now")).select(
+        *key, "valid_from", last, *[F.col(f"_now.{a}").alias(a) for a in attributes]
+    )
+    both = opened.select(*key, "valid_from", first, *attributes).unionByName(newest)
+    again = scd2_merge(both, key, "valid_from", attributes, sequence=["_new"])
+    return stored.join(named.alias("n"), same, "left_anti").unionByName(again)
