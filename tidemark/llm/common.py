@@ -123,18 +123,12 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts, A-Z lower-cased, and where each text begins.
+def run_hashes(bytes_: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs of bytes from ``starts`` to ``ends``, which ascend.
 
-    Text ``i`` has the hashes ``h[begins[i]:begins[i + 1]]``. A word's hash is a polynomial in
-    its bytes, taken as the difference of two running sums, so that no word is a Python object.
+    A hash is a polynomial in the bytes, taken as the difference of two running sums, so that
+    no run is a Python object.
     """
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    bytes_ = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)
-    at = np.concatenate([[0], np.cumsum(sizes + 1)])
-    solid = np.concatenate([[False], ~_BLANK[bytes_]])
-    edges = np.flatnonzero(solid[1:] != solid[:-1])
-    starts, ends = edges[::2], edges[1::2]
     hashes = np.empty(len(starts), np.uint64)
     first = 0
     while first < len(starts):
@@ -147,7 +141,21 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         s, e = starts[first:last] - base, ends[first:last] - base
         hashes[first:last] = (sums[e] - sums[s]) * down[s]
         first = last
-    return mix(hashes), np.searchsorted(starts, at)
+    return mix(hashes)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, A-Z lower-cased, and where each text begins.
+
+    Text ``i`` has the hashes ``h[begins[i]:begins[i + 1]]``.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    bytes_ = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)
+    at = np.concatenate([[0], np.cumsum(sizes + 1)])
+    solid = np.concatenate([[False], ~_BLANK[bytes_]])
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    return run_hashes(bytes_, starts, ends), np.searchsorted(starts, at)
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:

@@ -10,7 +10,6 @@ document is read by its index entry alone.
 from __future__ import annotations
 
 import hashlib
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import batches, ready, whole_text
+from tidemark.llm.common import batches, ready, run_hashes, whole_text
 from tidemark.llm.files import opened, put, written
 from tidemark.session import shared_dir, stage
 
@@ -31,73 +30,115 @@ END_ID = 0
 ROWS_PER_FILE = 4096
 SAMPLE_DOCS, SAMPLE_CHARS = 512, 8192   # the dictionary is trained on so many texts of up to so many characters
 DICTIONARY_BYTES = 32_768
-KNOWN_PIECES = 600_000                  # pieces whose ids a worker remembers
+KNOWN_PIECES = 2_000_000                # pieces whose ids a worker remembers
 PIECES_AT_ONCE = 10_000                 # pieces encoded as one text
 BATCH_BYTES = 2 << 20
 LEVEL = 3
 _MAGIC = b"TMTOK1"
 _FOOTER = "<QB6s"
-# A space before a blank does not begin a piece for certain; such texts are encoded whole.
-_UNSURE = re.compile(r" \s")
+# Kinds of bytes. What is not ASCII is of no kind, but for the first byte of letters like é.
+_ALNUM, _MARK, _SOLID = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_ALNUM[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = True
+_SOLID[0x21:0x7F] = True
+_MARK[:] = _SOLID & ~_ALNUM
+_STARTS = _SOLID.copy()
+_STARTS[0xC3] = True
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
 class Encoder:
     """Ids of texts, remembering those of pieces met before.
 
-    The vocabulary cuts a text at blanks before anything else, and a single space goes with the
-    word behind it. So a text without runs of blanks has the ids of its pieces, cut before each
-    space, one after another. Pieces not met before are encoded as one text, whose ids are cut
-    where the bytes of a piece end. Any other text is encoded whole.
+    The vocabulary first cuts a text into words, marks and blanks, a single space going with
+    what is behind it. A text is cut here only where that cuts it whatever stands around: before
+    a space with no blank behind it, between a letter or digit and a mark, and on either side of
+    a line feed that stands alone. So it has the ids of its pieces, one after another.
+
+    Pieces are known by a 64-bit hash, in sorted arrays: with two million pieces any two have
+    one hash with a chance of one in nine million.
     """
 
     def __init__(self, path: str, dtype: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # what looks like a special token is text
-        self.dtype, self.width, self.known, self.firsts = dtype, int(dtype[-1]), {}, {"": b""}
+        self.dtype, self.width = dtype, int(dtype[-1])
         vocabulary = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():  # byte-level: a character of a token is a byte
             self.sizes[number] = len(token)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = np.empty(0, np.uint64)                               # hashes, sorted
+        self.at, self.count = np.empty(0, np.int64), np.empty(0, np.int64)  # where their ids lie in the pool
+        self.pool = np.empty(0, self.dtype)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, self.dtype) for e in found]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _together(self, pieces: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+        """The ids of pieces that begin with a space, encoded many as one text; how many each has."""
+        ids, counts = [], []
         for i in range(0, len(pieces), PIECES_AT_ONCE):
             some = pieces[i:i + PIECES_AT_ONCE]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, np.int64)
-            ends = np.cumsum([len(p.encode()) + 1 for p in some])
-            bytes_ = np.cumsum(self.sizes[ids])
+            ids += self._encode([b"".join(some)])
+            ends = np.cumsum([len(p) for p in some])
+            bytes_ = np.cumsum(self.sizes[ids[-1]])
             cuts = np.searchsorted(bytes_, ends) + 1
             if not np.array_equal(bytes_[cuts - 1], ends):
-                raise ValueError("the ids of a piece go beyond its end; the vocabulary does not cut at blanks")
-            raw, cuts = ids.astype(self.dtype).tobytes(), (cuts * self.width).tolist()
-            self.known.update(zip(some, (raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)), strict=True))
+                raise ValueError("the ids of a piece go beyond its end; the vocabulary does not cut before spaces")
+            counts.append(np.diff(cuts, prepend=0))
+        return ids, np.concatenate([np.empty(0, np.int64), *counts])
+
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        """``hashes`` are sorted, and not known yet."""
+        spaced = np.array([p[0] == 0x20 for p in pieces], bool)
+        ids, counts = self._together([p for p, s in zip(pieces, spaced, strict=True) if s])
+        single = self._encode([p for p, s in zip(pieces, spaced, strict=True) if not s])
+        count = np.empty(len(pieces), np.int64)
+        count[spaced], count[~spaced] = counts, [len(x) for x in single]
+        at = np.empty(len(pieces), np.int64)
+        for some in (spaced, ~spaced):
+            at[some] = np.cumsum(count[some]) - count[some]
+        at[~spaced] += counts.sum()
+        place = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, place, hashes)
+        self.at, self.count = np.insert(self.at, place, at + len(self.pool)), np.insert(self.count, place, count)
+        self.pool = np.concatenate([self.pool, *ids, *single])
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text and the end, as bytes."""
+        joined = b"".join(t + b"\t" for t in texts)  # a blank, before which no rule cuts a space off
+        after = np.cumsum([len(t) + 1 for t in texts])
+        begins, ends = np.concatenate([[0], after[:-1]]), after - 1
+        data = np.frombuffer(joined + b"\t", np.uint8)
+        here, before, two = data[:-1], np.concatenate([[9], data[:-2]]), np.concatenate([[9, 9], data[:-3]])
+        cut = (here == 0x20) & _STARTS[data[1:]]
+        cut |= _ALNUM[before] & _MARK[here]
+        cut |= _SOLID[before] & (here == 0x0A)
+        cut |= _SOLID[two] & (before == 0x0A) & _STARTS[here]
+        cut[begins] = cut[ends] = True
+        first = np.flatnonzero(cut)
+        last = np.append(first[1:], len(joined))
+        of_text = np.ones(len(joined), bool)
+        of_text[ends] = False
+        keep = of_text[first]
+        first, last = first[keep], last[keep]
+
+        hashes, where, which = np.unique(run_hashes(data, first, last), return_index=True, return_inverse=True)
         if len(self.known) > KNOWN_PIECES:
-            self.known.clear()
-        if len(self.firsts) > KNOWN_PIECES:
-            self.firsts = {"": b""}
-        cut, whole = [], []
-        for raw in texts:
-            text = raw.decode()
-            if text.endswith(" ") or _UNSURE.search(text):
-                whole.append(text)
-                cut.append(None)
-            else:
-                cut.append(text.split(" "))
-        self._learn(list({p for pieces in cut if pieces for p in pieces[1:] if p not in self.known}))
-        first = list({pieces[0] for pieces in cut if pieces and pieces[0] not in self.firsts})
-        self.firsts.update(zip(first, self._encode(first), strict=True))
-        wholes = iter(self._encode(whole))
+            self._forget()
+        new = ~np.isin(hashes, self.known, assume_unique=True)
+        if new.any():
+            self._learn(hashes[new], [joined[a:b] for a, b in zip(first[where[new]].tolist(), last[where[new]].tolist(), strict=True)])
+        place = np.searchsorted(self.known, hashes)[which]
+        count = self.count[place]
+        done = np.concatenate([[0], np.cumsum(count)])
+        ids = self.pool[np.repeat(self.at[place] - done[:-1], count) + np.arange(done[-1])].tobytes()
         end = np.array([END_ID], self.dtype).tobytes()
-        return [
-            (self.firsts[pieces[0]] + b"".join(map(self.known.__getitem__, pieces[1:])) if pieces else next(wholes)) + end
-            for pieces in cut
-        ]
+        from_, to = (done[np.searchsorted(first, x)] * self.width for x in (begins, ends))
+        return [ids[a:b] + end for a, b in zip(from_.tolist(), to.tolist(), strict=True)]
 
 
 def encoder(path: str, dtype: str) -> Encoder:
