@@ -257,14 +257,20 @@ def test_token_files(docs):
     assert [r[1] for r in got] == [sum(x[2] for x in got[:k]) for k in range(len(got))]
 
 
-def test_pieces_have_the_ids_of_the_whole_text():
+def test_pieces_have_the_ids_of_the_whole_text(monkeypatch):
     import random
     random.seed(5)
-    parts = ["a", " ", "  ", "\n", "\t", " b", "'s", "1", "é", " ", "　", ".", "\x1c", "中", "\r\n", "\x85", "<|endoftext|>"]
+    parts = ["a", "½", "²", "_", "'", ",", "\n\n", " w", "don't", "\u0301", "\u200b", "😀", " ", "  ", "\n", "\t", " b", "'s", "1", "é", " ", "　", ".", "\x1c", "中", "\r\n", "\x85", "<|endoftext|>"]
     texts = ["".join(random.choices(parts, k=random.randint(0, 9))) for _ in range(5000)]
     tokenizer = Tokenizer.from_file(VOCABULARY)
     tokenizer.encode_special_tokens = True
-    got = token_files.Encoder(VOCABULARY, "<u2")([t.encode() for t in texts])
+    encoder = token_files.Encoder(VOCABULARY, "<u2")
+    raw = [t.encode() for t in texts]
+    # Known from one batch to the next, and after all is forgotten.
+    got = encoder(raw[:2000]) + encoder(raw[2000:])
+    monkeypatch.setattr(token_files, "KNOWN_PIECES", 0)
+    assert encoder(raw) == got
+    assert encoder([]) == [] and encoder([b""]) == [b"\0\0"]
     assert got == [np.array([*e.ids, 0], "<u2").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 

@@ -109,6 +109,8 @@ class Encoder:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text and the end, as bytes."""
+        if not texts:
+            return []
         joined = b"".join(t + b"\t" for t in texts)  # a blank, before which no rule cuts a space off
         after = np.cumsum([len(t) + 1 for t in texts])
         begins, ends = np.concatenate([[0], after[:-1]]), after - 1
