@@ -22,7 +22,7 @@ _U = np.uint64
 _MASK = (1 << 64) - 1
 _BYTE = np.random.default_rng(0x5EED).integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
 _ODD = 0x9E3779B97F4A7C15
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -169,7 +169,7 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(runs)
 
 
-def batches(iterator: Iterator[pa.RecordBatch], text: str = "text", most: int = 8 << 20):
+def batches(iterator: Iterator[pa.RecordBatch], text: str = "text", most: int = 2 << 20):
     """Slices of the batches with at most ``most`` bytes of text, or of one row.
 
     Gives the slice without the text, and the texts as bytes.
