@@ -115,7 +115,7 @@ class Encoder:
         after = np.cumsum([len(t) + 1 for t in texts])
         begins, ends = np.concatenate([[0], after[:-1]]), after - 1
         data = np.frombuffer(joined + b"\t", np.uint8)
-        here, before, two = data[:-1], np.concatenate([[9], data[:-2]]), np.concatenate([[9, 9], data[:-3]])
+        here, before, two = data[:-1], np.concatenate([[9], data[:-2]]), np.concatenate([[9, 9], data[:-3]])[:len(joined)]
         cut = (here == 0x20) & _STARTS[data[1:]]
         cut |= _ALNUM[before] & _MARK[here]
         cut |= _SOLID[before] & (here == 0x0A)
