@@ -5,6 +5,8 @@ from __future__ import annotations
 import glob
 import json
 
+import pytest
+
 from tidemark.plans import gold, pipeline
 
 LANDED = {
@@ -67,3 +69,29 @@ def test_landed_files_become_views(spark, tmp_path):
     assert laid_out["dim_customer"].count() == 2
     assert laid_out["fact_sales_partitioned"].count() == 5
     assert len(glob.glob(f"{tmp_path}/laid_out/fact_sales_partitioned/*/*.parquet")) == 2
+
+
+def _landed(tmp_path, files, entries):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for name, text in files.items():
+        (landing / f"{name}.csv").write_text(text, encoding="utf-8")
+    (tmp_path / "manifest.json").write_text(json.dumps(
+        [{"csv_relative_url": f"{a}.csv", "file_name": b} for a, b in entries], indent=2
+    ))
+    return f"{tmp_path}/manifest.json", str(landing), str(tmp_path)
+
+
+def test_all_files_of_an_entity_are_read(spark, tmp_path):
+    more = LANDED["orders"].splitlines()[0] + "\no3,c1,shipped,2017-11-02 10:56:33,,,,2017-11-18 00:00:00\n"
+    files = {**LANDED, "orders_more": more}
+    where = _landed(tmp_path, files, [(name, f"{name}.csv") for name in files])
+    pipeline.run(spark, *where, {f"{name}.csv": name.removesuffix("_more") for name in files})
+    found = spark.sql("SELECT natural_order_key FROM gold_dim_orders ORDER BY 1").collect()
+    assert [r[0] for r in found] == ["o1", "o2", "o3"]
+
+
+@pytest.mark.parametrize("entries", [[("orders", "a.csv"), ("sellers", "a.csv")], [("orders", "a.csv"), ("sellers", "b.csv")]])
+def test_a_name_listed_twice_or_without_an_entity_is_refused(spark, tmp_path, entries):
+    with pytest.raises(ValueError):
+        pipeline.run(spark, *_landed(tmp_path, LANDED, entries), {"a.csv": "orders"})
