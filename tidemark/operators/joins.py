@@ -20,7 +20,8 @@ def left_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_R
 
     AQE splits a hot key of an inner join on both sides, of a left join on the left side only.
     So keys that are hot on the right are joined inner, which for them is the same: they have
-    a match. One narrow pass counts the keys; where none is hot, this is the plain left join.
+    a match. Not lazy: one narrow pass counts the keys; where none is hot, this is the plain left
+    join.
     """
     counts = right.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     hot = counts.where(F.col("_rows") > hot_rows).select(key)
@@ -48,10 +49,13 @@ def wide_orders(
     orders: DataFrame, customers: DataFrame, payments: DataFrame, items: DataFrame,
     products: DataFrame, sellers: DataFrame,
 ) -> DataFrame:
-    """Orders with everything known about them, one row per payment and item."""
+    """Orders with everything known about them, one row per payment and item.
+
+    Products and sellers hang on the item, and are joined to it before payments repeat it.
+    """
     with_customers = orders.join(customers, "customer_id", "left")
-    lines = left_join(left_join(with_customers, payments, "order_id"), items, "order_id")
-    return lines.join(products, "product_id", "left").join(sellers, "seller_id", "left")
+    described = items.join(products, "product_id", "left").join(sellers, "seller_id", "left")
+    return left_join(left_join(with_customers, payments, "order_id"), described, "order_id")
 
 
 def orders_customers_payments(orders: DataFrame, customers: DataFrame, payments: DataFrame) -> DataFrame:

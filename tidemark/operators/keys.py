@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.session import stage
 
-BUCKET_DIGITS = 4            # 16^4 = 65,536 buckets of rows; a digit more from 10^12 rows on
+BUCKET_DIGITS = 4            # 16^4 = 65,536 buckets of rows at least
 COPIES_PER_TASK = 1_000_000  # copies of one row that one task writes out
 UNKNOWN_KEY = -1
 
@@ -28,9 +28,15 @@ def row_text(df: DataFrame, columns: list[str]) -> Column:
     return F.concat_ws("|", *parts)
 
 
+def _digits(df: DataFrame) -> int:
+    """Digits that make at least as many buckets as shuffles have partitions."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(BUCKET_DIGITS, len(f"{partitions - 1:x}"))
+
+
 def surrogate_key(
     df: DataFrame, name: str, key: list[str] | None = None, copies_per_task: int = COPIES_PER_TASK,
-    bucket_digits: int = BUCKET_DIGITS,
+    bucket_digits: int | None = None,
 ) -> DataFrame:
     """Number the rows 0, 1, 2 … in the order of the MD5 digest of their content.
 
@@ -42,18 +48,20 @@ def surrogate_key(
     buckets are even whatever the data looks like, and no sampling pass is needed. A row's
     number is the rows in lower buckets plus its place within its bucket. Copies are counted,
     partially before the shuffle, and written out again at the end; a row with more than
-    ``copies_per_task`` copies is written out by several tasks. Neither limit changes a number.
+    ``copies_per_task`` copies is written out by several tasks. The number of buckets follows
+    that of the shuffle partitions. Neither limit changes a number.
 
-    The frame is computed once and staged; the bucket totals read two columns of that table.
+    Not lazy: the frame is computed once and staged, with the 16 bytes of the digest; the bucket
+    totals read two columns of that table.
     """
     columns = [f"`{c}`" for c in df.columns]
     if key:
         groups = df.withColumn("_copies", F.lit(1).cast("long"))
     else:
         groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    bucket = F.substring("_digest", 1, bucket_digits)
-    digested = groups.withColumn("_digest", F.md5(row_text(df, key or df.columns)))
-    staged = stage(digested.withColumn("_bucket", bucket), name)
+    digested = groups.withColumn("_digest", F.unhex(F.md5(row_text(df, key or df.columns))))
+    bucket = F.substring(F.hex("_digest"), 1, bucket_digits or _digits(df))
+    staged = stage(digested, name).withColumn("_bucket", bucket)
 
     totals = staged.groupBy("_bucket").agg(F.sum("_copies").alias("_rows"))
     lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
