@@ -17,8 +17,16 @@ def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(names)
 
 
+def readable(column: Column, kind: str) -> Column:
+    """The value as ``kind``, null where it cannot be read. NaN and infinity are no amounts either."""
+    value = column.try_cast(kind)
+    if kind in ("double", "float"):
+        return F.when(F.abs(value) < F.lit(float("inf")), value)  # NaN counts as larger than infinity
+    return value
+
+
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    return df.withColumns({name: F.col(name).try_cast(kind) for name, kind in types.items()})
+    return df.withColumns({name: readable(F.col(name), kind) for name, kind in types.items()})
 
 
 def fill_nulls(df: DataFrame, defaults: dict) -> DataFrame:
@@ -32,7 +40,7 @@ def clean_fields(df: DataFrame, fields: list[Field]) -> DataFrame:
     for f in fields:
         c = F.col(f.source)
         if f.type != "string":
-            c = c.try_cast(f.type)
+            c = readable(c, f.type)
         if f.default is not None:
             c = F.coalesce(c, F.lit(f.default).cast(f.type))
         if f.strip:
@@ -60,7 +68,7 @@ def ingest_type_conversion(df: DataFrame, target: T.StructType) -> DataFrame:
 def flag_bad_rows(df: DataFrame, types: dict[str, str], flag: str = "bad_columns") -> DataFrame:
     """Add the names of the columns whose text cannot be read as the wanted type."""
     bad = [
-        F.when(F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull(), F.lit(name))
+        F.when(F.col(name).isNotNull() & readable(F.col(name), kind).isNull(), F.lit(name))
         for name, kind in types.items()
     ]
     return df.withColumn(flag, F.concat_ws(",", *bad))

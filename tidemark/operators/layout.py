@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.sources.tables import scan_table
+from tidemark.session import SHUFFLE_BYTES_PER_TASK
+from tidemark.sources.tables import scan_folders, scan_table, table_bytes
 
 # Bounds the size of a file where rows are narrow and compress well.
 MAX_RECORDS_PER_FILE = 20_000_000
@@ -18,7 +20,7 @@ MAX_RECORDS_PER_FILE = 20_000_000
 
 def write_overwrite(df: DataFrame, path: str) -> DataFrame:
     """Replace the table at ``path`` and read it back. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
     return scan_table(df.sparkSession, path, df.schema)
 
 
@@ -51,30 +53,39 @@ def write_partitioned(df: DataFrame, path: str, by: str, cluster_by: str | None
     return scan_table(df.sparkSession, path, df.schema).select(*[f"`{c}`" for c in df.columns])
 
 
-def cluster_layout(spark: SparkSession, source: str, target: str, by: str, files: int | None = None) -> DataFrame:
+def cluster_layout(
+    spark: SparkSession, source: str, target: str, by: str, files: int | None = None, schema: T.StructType | None = None
+) -> DataFrame:
     """Rewrite a table so that each file covers its own range of ``by``, sorted within.
 
     Readers then skip files and row groups by their min and max. The row id as second range
     column lets the rows of one hot value fall into several files; it is the same on every
-    attempt of a task, since the rows come straight from files. Without ``files`` AQE merges
-    neighbouring ranges up to the advisory size.
+    attempt of a task, since the rows come straight from files. Without ``files`` there are
+    enough ranges for the bytes of the table, and AQE merges small neighbours up to the advisory
+    size. ``schema`` pins the types of partition columns.
     """
+    if not files:
+        wanted = -(-table_bytes(spark, source) // SHUFFLE_BYTES_PER_TASK)
+        files = wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
     spread = [F.col(f"`{by}`"), F.col("_row")]
-    ranged = scan_table(spark, source).withColumn("_row", F.monotonically_increasing_id())
+    ranged = scan_table(spark, source, schema).withColumn("_row", F.monotonically_increasing_id())
     ranged = ranged.repartitionByRange(files, *spread) if files else ranged.repartitionByRange(*spread)
     return write_overwrite(ranged.sortWithinPartitions(f"`{by}`").drop("_row"), target)
 
 
 def compact_files(
-    spark: SparkSession, source: str, target: str, by: str | None = None, cluster_by: str | None = None
+    spark: SparkSession, source: str, target: str, by: str | None = None, cluster_by: str | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Rewrite the many files of a table as few. The source stays as it is.
 
     The target must be a new folder: readers of plain files would see both copies otherwise.
+    ``schema`` pins the types of partition columns. Without it ``by`` stays the text that its
+    folders are named with.
     """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError(f"{target} already exists: it is the table itself, which an attempt that fails would lose")
-    table = scan_table(spark, source)
+    table = scan_folders(spark, source, by) if by and schema is None else scan_table(spark, source, schema)
     if by:
         return write_partitioned(table, target, by, cluster_by)
     table.hint("rebalance").write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(target)

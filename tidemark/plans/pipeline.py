@@ -9,6 +9,7 @@ from tidemark.schemas import ENTITIES
 from tidemark.session import tune
 from tidemark.sources.csv import scan_csv_quoted
 from tidemark.sources.manifest import manifest_ingest
+from tidemark.sources.tables import table_bytes
 
 # Review texts hold line breaks; all other files can be split.
 MULTI_LINE = {"order_reviews"}
@@ -18,7 +19,8 @@ def run(spark: SparkSession, manifest: str, landing: str, root: str, entities: d
     """Ingest the files a manifest lists, clean, model, publish.
 
     ``entities`` gives the entity of each file name; all files of an entity are read together. Bronze, Silver and Gold lie below
-    ``root``; returns the names of the views.
+    ``root``; returns the names of the views. Shuffles are sized for all that was landed: a fact
+    joins most of it.
     """
     tune(spark)
     with_breaks = {name for name, entity in entities.items() if entity in MULTI_LINE}
@@ -33,6 +35,7 @@ def run(spark: SparkSession, manifest: str, landing: str, root: str, entities: d
         entity: scan_csv_quoted(spark, files, [f.source for f in ENTITIES[entity]], entity in MULTI_LINE)
         for entity, files in paths.items()
     }
+    tune(spark, table_bytes(spark, list(bronze.values())))
     cleaned = silver.write(raw, f"{root}/silver")
     gold.write_gold(cleaned, f"{root}/gold")
     return gold.publish_views(spark, f"{root}/gold", gold.STAR_TABLES)

@@ -37,6 +37,8 @@ def manifest_ingest(
         rows = spark.read.options(**CSV_FORMAT, header=True, multiLine=name in multi_line).csv(
             f"{landing.rstrip('/')}/{entry.csv_relative_url}"
         )
+        if name in multi_line:  # one task reads it; let several write it, and read it later
+            rows = rows.hint("rebalance")
         copied[name] = f"{bronze.rstrip('/')}/{name}"
         write_csv_quoted(rows, copied[name])
     return copied

@@ -13,15 +13,31 @@ def scan_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def scan_partition_folder(spark: SparkSession, path: str, partition: dict[str, str]) -> DataFrame:
+def table_bytes(spark: SparkSession, paths: str | list[str]) -> int:
+    """The size of all files below the paths. Only the listing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def scan_folders(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """A table with the folder names of ``by`` kept as text, so that ``01`` and ``1`` stay apart."""
+    schema = spark.read.parquet(path).schema
+    text = T.StructField(by, T.StringType())
+    return scan_table(spark, path, T.StructType([text if f.name == by else f for f in schema]))
+
+
+def scan_partition_folder(
+    spark: SparkSession, path: str, partition: dict[str, str], schema: T.StructType | None = None
+) -> DataFrame:
     """Read the folders of one partition value only, and keep the partition column.
 
-    The predicate becomes a partition filter, so that other folders are not opened.
+    The predicate becomes a partition filter, so that other folders are not opened. ``schema``
+    pins the type of the partition columns, which Spark otherwise guesses from the folder names.
     """
     wanted: Column = F.lit(True)
     for name, value in partition.items():
         wanted = wanted & (F.col(name) == value)
-    return spark.read.parquet(path).where(wanted)
+    return scan_table(spark, path, schema).where(wanted)
 
 
 def merge_schema(*versions: DataFrame) -> DataFrame:
