@@ -230,11 +230,14 @@ PRODUCT_SIZES = (
 )
 
 
-@query("dim_product", key_sql(f"""
+DIM_PRODUCT = key_sql(f"""
     SELECT product_id AS natural_product_key, p.product_category_name AS category,
       product_category_name_english AS category_english, {PRODUCT_SIZES.replace(' ', ', ')}
     FROM {{s_products}} p LEFT JOIN {{s_category_translation}} t ON p.product_category_name = t.product_category_name""",
-    "product_sk", kinds(f"natural_product_key category category_english {PRODUCT_SIZES}")))
+    "product_sk", kinds(f"natural_product_key category category_english {PRODUCT_SIZES}"))
+
+
+@query("dim_product", DIM_PRODUCT)
 def dim_product(spark, d):
     products, translation = frames(spark, d, "raw_products", "raw_category_translation")
     return dims.dim_product(silver.products(products), silver.category_translation(translation))
@@ -288,6 +291,68 @@ SILVER_SALES = """
        LEFT JOIN {s_order_reviews} r ON o.order_id = r.order_id)"""
 
 
+ORACLE_KEYS = {
+    "dim_product": DIM_PRODUCT,
+    **{n: key_sql(DIM_ROWS[n][2], DIM_ROWS[n][0], kinds(*DIM_ROWS[n][3:])) for n in ["dim_customer", "dim_seller"]},
+}
+
+
+def _dim_key(name: str, entity: str) -> str:
+    """For each natural key the row of the dimension that has the lowest key."""
+    sql = ORACLE_KEYS[name]
+    return f"(SELECT * FROM ({sql}) QUALIFY row_number() OVER (PARTITION BY natural_{entity}_key ORDER BY {entity}_sk) = 1)"
+
+
+STAR_ORPHANS = " UNION ALL ".join(f"""
+    SELECT '{entity}' AS dimension, {entity}_id AS orphan, count(*) AS source_rows FROM {{{source}}}
+    WHERE {entity}_id IS NOT NULL AND {entity}_id IN (SELECT {entity}_id FROM {{{source}}} EXCEPT SELECT {entity}_id FROM {{{dim}}})
+    GROUP BY 2""" for entity, source, dim in [
+        ("customer", "s_orders", "s_customers"), ("product", "s_order_items", "s_products"),
+        ("seller", "s_order_items", "s_sellers"),
+    ])
+
+
+@query("star_orphans", STAR_ORPHANS)
+def star_orphans(spark, d):
+    tables = silver_tables(spark, d)
+    return facts.star_orphans(tables["orders"], tables["order_items"], _sales_dimensions(tables))
+
+
+@query("star_join", f"""
+    SELECT o.order_id, o.customer_id, i.product_id, i.seller_id, coalesce(c.customer_sk, -1) AS customer_sk,
+      coalesce(pr.product_sk, -1) AS product_sk, coalesce(s.seller_sk, -1) AS seller_sk,
+      o.order_purchase_date AS purchase_date, i.price AS sales_amount, p.payment_value AS payment_amount,
+      coalesce(p.payment_type, 'Unknown') AS payment_type, coalesce(r.review_score, 0) AS review_score,
+      c.customer_city, pr.category, s.seller_state
+    FROM {{s_orders}} o JOIN {{s_order_items}} i ON o.order_id = i.order_id
+      LEFT JOIN {{s_order_payments}} p ON o.order_id = p.order_id
+      LEFT JOIN {{s_order_reviews}} r ON o.order_id = r.order_id
+      LEFT JOIN {_dim_key('dim_customer', 'customer')} c ON o.customer_id = c.natural_customer_key
+      LEFT JOIN {_dim_key('dim_product', 'product')} pr ON i.product_id = pr.natural_product_key
+      LEFT JOIN {_dim_key('dim_seller', 'seller')} s ON i.seller_id = s.natural_seller_key""")
+def star_join(spark, d):
+    """The fact joined to its dimensions by their keys, all from raw text."""
+    tables = silver_tables(spark, d)
+    dimensions = _sales_dimensions(tables)
+    star = facts.fact_sales_star(
+        *[tables[n] for n in ["orders", "order_items", "order_payments", "order_reviews"]], dimensions
+    ).drop("order_status", "delivery_date", "shipping_cost", "review_sentiment")
+    for name, sk, column in [
+        ("dim_customer", "customer_sk", "customer_city"), ("dim_product", "product_sk", "category"),
+        ("dim_seller", "seller_sk", "seller_state"),
+    ]:
+        star = star.join(dimensions[name].select(sk, column), sk, "left")
+    return star
+
+
+def _sales_dimensions(tables):
+    return {
+        "dim_customer": dims.dim_customer(tables["customers"]),
+        "dim_product": dims.dim_product(tables["products"], tables["category_translation"]),
+        "dim_seller": dims.dim_seller(tables["sellers"]),
+    }
+
+
 @query("gold_views", " UNION ALL ".join([
     _count("gold_dim_customer", "{s_customers}"),
     _count("gold_dim_geolocation", "(SELECT DISTINCT geolocation_latitude, geolocation_longitude FROM {s_geolocation})"),
@@ -302,6 +367,8 @@ SILVER_SALES = """
     _count("gold_fact_sales_partitioned", SILVER_SALES),
     _count("gold_fact_order_payments_partitioned", SILVER_SALES),
     _count("gold_bridge_order_items", SILVER_SALES),
+    _count("gold_fact_sales_star", SILVER_SALES),
+    _count("gold_star_orphans", f"({STAR_ORPHANS})"),
     _count("wide_customers", "{f_customers}"),
     _count("wide_products", "{f_products}"),
     _count("wide_sellers", "{f_sellers}"),
@@ -315,8 +382,7 @@ def gold_views(spark, d):
     star, flat = shared_dir(spark, "gold"), shared_dir(spark, "wide")
     gold.write_gold(silver_tables(spark, d), star)
     entities = {name: frame(spark, d, f"f_{name}") for name in gold.WIDE_TABLES if name != "fact_orders"}
-    for name, df in {**entities, "fact_orders": fact_orders_wide(spark, d)}.items():
-        df.write.parquet(f"{flat}/{name}")
+    gold.write_wide(entities, fact_orders_wide(spark, d), flat)
     views = gold.publish_views(spark, star, gold.STAR_TABLES) + gold.publish_views(
         spark, flat, gold.WIDE_TABLES, prefix="wide_"
     )

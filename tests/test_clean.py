@@ -78,3 +78,9 @@ def test_sentiment_of_missing_reviews(spark):
     default = [r[0] for r in df.select(rules.review_sentiment(F.col("s"))).collect()]
     assert default == ["Positive", "Positive", "Neutral", "Negative", "Negative"]
     assert df.select(rules.review_sentiment(F.col("s"), "Unknown")).collect()[-1][0] == "Unknown"
+
+
+def test_no_number_is_read_from_nan_and_infinity(spark):
+    df = spark.createDataFrame([("1.5",), ("NaN",), ("Infinity",), ("-Infinity",), (None,)], "x string")
+    assert rows(clean.cast_columns(df, {"x": "double"})) == [(None,)] * 4 + [(1.5,)]
+    assert [r.bad_columns for r in clean.flag_bad_rows(df, {"x": "double"}).collect()] == ["", "x", "x", "x", ""]

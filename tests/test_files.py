@@ -10,6 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.conftest import rows
 from tidemark.operators import layout
@@ -170,3 +171,22 @@ def test_scratch_folders_lie_in_the_shared_folder(spark):
     assert first != second
     run = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
     assert os.path.dirname(first) == run
+
+
+def test_folder_names_of_partitions_stay_apart(spark, tmp_path):
+    for name, x in [("01", 1), ("1", 2)]:
+        spark.createDataFrame([(x,)], "x int").write.parquet(f"{tmp_path}/t/k={name}")
+    compact = layout.compact_files(spark, f"{tmp_path}/t", f"{tmp_path}/few", "k")
+    assert rows(compact.select("k", "x")) == [("01", 1), ("1", 2)]
+    schema = T.StructType.fromDDL("x int, k string")
+    one = tables.scan_partition_folder(spark, f"{tmp_path}/t", {"k": "01"}, schema)
+    assert rows(one) == [(1, "01")]
+    clustered = layout.cluster_layout(spark, f"{tmp_path}/t", f"{tmp_path}/clustered", "x", schema=schema)
+    assert rows(clustered) == [(1, "01"), (2, "1")]
+
+
+def test_bytes_of_a_table_are_those_of_its_files(spark, tmp_path):
+    (tmp_path / "t" / "k=1").mkdir(parents=True)
+    (tmp_path / "t" / "k=1" / "a.csv").write_bytes(b"x" * 70)
+    (tmp_path / "t" / "b.csv").write_bytes(b"x" * 30)
+    assert tables.table_bytes(spark, f"{tmp_path}/t") == 100

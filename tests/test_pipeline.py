@@ -95,3 +95,29 @@ def test_all_files_of_an_entity_are_read(spark, tmp_path):
 def test_a_name_listed_twice_or_without_an_entity_is_refused(spark, tmp_path, entries):
     with pytest.raises(ValueError):
         pipeline.run(spark, *_landed(tmp_path, LANDED, entries), {"a.csv": "orders"})
+
+
+def test_unreadable_rows_go_to_quarantine_and_no_row_is_lost(spark, tmp_path):
+    header, good = LANDED["order_items"].splitlines()[:2]
+    columns = header.split(",")
+    bad = ["NaN" if c == "price" else v for c, v in zip(columns, good.split(","))]
+    worse = ["Infinity" if c == "freight_value" else "soon" if c == "order_item_id" else v for c, v in zip(columns, good.split(","))]
+    files = {**LANDED, "order_items": LANDED["order_items"] + ",".join(bad) + "\n" + ",".join(worse) + "\n"}
+    read = len(files["order_items"].splitlines()) - 1
+    pipeline.run(spark, *_landed(tmp_path, files, [(name, f"{name}.csv") for name in files]),
+                 {f"{name}.csv": name for name in files}, quarantine=True)
+    rejected = spark.read.parquet(f"{tmp_path}/rejected/order_items")
+    assert sorted(r.bad_columns for r in rejected.collect()) == ["order_item_id,freight_value", "price"]
+    assert spark.read.parquet(f"{tmp_path}/silver/order_items").count() + rejected.count() == read
+
+
+def test_star_joins_its_dimensions_by_key(spark, tmp_path):
+    files = {**LANDED, "sellers": LANDED["sellers"].splitlines()[0] + "\n"}
+    pipeline.run(spark, *_landed(tmp_path, files, [(name, f"{name}.csv") for name in files]),
+                 {f"{name}.csv": name for name in files})
+    assert spark.table("gold_fact_sales_star").count() == spark.table("gold_fact_sales").count()
+    wrong = spark.sql("""SELECT * FROM gold_fact_sales_star f LEFT JOIN gold_dim_product d USING (product_sk)
+        WHERE f.product_id IS DISTINCT FROM d.natural_product_key""")
+    assert wrong.isEmpty()
+    assert [r[0] for r in spark.sql("SELECT DISTINCT seller_sk FROM gold_fact_sales_star").collect()] == [-1]
+    assert spark.sql("SELECT count(*) FROM gold_star_orphans WHERE dimension = 'seller'").first()[0] > 0

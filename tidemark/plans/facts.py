@@ -15,20 +15,31 @@ from tidemark.functions.money import amount, cents, total
 from tidemark.functions.rules import review_sentiment
 from tidemark.operators.clean import fill_nulls
 from tidemark.operators.joins import orders_with_items, with_payments_and_reviews
-from tidemark.operators.keys import surrogate_key
+from tidemark.operators.keys import orphan_keys, surrogate_key, surrogate_key_lookup
 
+# The columns of the fact and the day that stands for no delivery.
 NO_DELIVERY = "1900-01-01"
 
 
 def sales_rows(
-    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame, missing_review: str = "Negative"
+    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame, missing_review: str = "Negative",
+    keyed: bool = False,
 ) -> DataFrame:
-    """The fact without its key. ``payment_amount`` stays null where nothing was paid."""
+    """The fact without its key. ``payment_amount`` stays null where nothing was paid.
+
+    The natural ids stand in for the dimensions' keys, unless orders and items are ``keyed``:
+    then these are taken over, and the ids keep their names.
+    """
+    of_orders, of_items = ["customer_id"], ["product_id", "seller_id"]
+    ids = [F.col(c).alias(c.replace("_id", "_sk")) for c in of_orders + of_items]
+    if keyed:
+        of_orders, of_items = [*of_orders, "customer_sk"], [*of_items, "product_sk", "seller_sk"]
+        ids = [F.col(c) for c in of_orders + of_items]
     lines = orders_with_items(
         orders.select(
-            "order_id", "customer_id", "order_status", "order_purchase_date", "order_delivered_customer_date"
+            "order_id", *of_orders, "order_status", "order_purchase_date", "order_delivered_customer_date"
         ),
-        items.select("order_id", "product_id", "seller_id", "price", "freight_value"),
+        items.select("order_id", *of_items, "price", "freight_value"),
     )
     rows = with_payments_and_reviews(
         lines,
@@ -36,9 +47,7 @@ def sales_rows(
         reviews.select("order_id", F.col("review_score").cast("int").alias("review_score")),
     ).select(
         "order_id",
-        F.col("customer_id").alias("customer_sk"),
-        F.col("product_id").alias("product_sk"),
-        F.col("seller_id").alias("seller_sk"),
+        *ids,
         "order_status",
         F.col("order_purchase_date").alias("purchase_date"),
         F.coalesce("order_delivered_customer_date", F.lit(NO_DELIVERY).cast("date")).alias("delivery_date"),
@@ -58,6 +67,36 @@ def fact_sales(
     return surrogate_key(sales_rows(orders, items, payments, reviews, missing_review), "fact_sales_sk")
 
 
+def _with_key(df: DataFrame, dim: DataFrame, entity: str) -> DataFrame:
+    copied = df.withColumn(f"{entity}_sk", F.col(f"{entity}_id"))
+    known = dim.select(F.col(f"natural_{entity}_key").alias("_natural"), F.col(f"{entity}_sk").alias("_dim_sk"))
+    return surrogate_key_lookup(copied, known, f"{entity}_sk", "_natural", "_dim_sk", f"{entity}_sk")
+
+
+def fact_sales_star(
+    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame, dimensions: dict[str, DataFrame],
+    missing_review: str = "Negative",
+) -> DataFrame:
+    """The rows of ``fact_sales`` with the keys of its dimensions, -1 where one lacks the id.
+
+    Keys are looked up for orders and items, before payments and reviews repeat them.
+    """
+    items_keyed = _with_key(_with_key(items, dimensions["dim_product"], "product"), dimensions["dim_seller"], "seller")
+    orders_keyed = _with_key(orders, dimensions["dim_customer"], "customer")
+    return sales_rows(orders_keyed, items_keyed, payments, reviews, missing_review, keyed=True)
+
+
+def star_orphans(orders: DataFrame, items: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """dimension, orphan, source_rows: ids of orders or items that their dimension lacks."""
+    found = [
+        orphan_keys(df, dimensions[f"dim_{entity}"], f"{entity}_id", f"natural_{entity}_key").select(
+            F.lit(entity).alias("dimension"), F.col(f"{entity}_id").cast("string").alias("orphan"),
+            F.col("fact_rows").alias("source_rows"),
+        ) for df, entity in [(orders, "customer"), (items, "product"), (items, "seller")]
+    ]
+    return found[0].union(found[1]).union(found[2])
+
+
 def sales_monthly(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
     """The monthly sums of ``agg_sales_monthly``, straight from the entities.
 

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.operators.layout import cluster_layout, compact_files, write_overwrite, write_partitioned
 from tidemark.plans import dims, facts
 from tidemark.sources.tables import scan_table
 
-# The tables of the star schema, and those of the older wide layout.
+# The tables of the star schema, and those of the older wide layout. The last two of the
+# star schema are added here: the fact with the keys of its dimensions, and what they lack.
 STAR_TABLES = [
     "dim_customer", "dim_geolocation", "dim_order_items", "dim_order_payments", "dim_order_reviews", "dim_orders",
     "dim_product", "dim_seller", "fact_sales", "fact_sales_agg", "fact_sales_partitioned",
     "fact_order_payments_partitioned", "bridge_order_items",
+    "fact_sales_star", "star_orphans",
 ]
 WIDE_TABLES = [
     "customers", "products", "sellers", "geolocation", "reviews", "payments", "items", "fact_orders",
@@ -33,7 +36,7 @@ def build_dimensions(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def write_gold(silver: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Write the thirteen tables below ``root``. The facts that build on others read their files."""
+    """Write the tables below ``root``. The facts that build on others read their files."""
     tables = {
         name: write_overwrite(df, f"{root}/{name}") for name, df in build_dimensions(silver).items()
     }
@@ -49,21 +52,41 @@ def write_gold(silver: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
         ("fact_order_payments_partitioned", fact, "payment_type"),
     ]:
         tables[name] = write_partitioned(df, f"{root}/{name}", by)
+    sources = [silver[n] for n in ["orders", "order_items", "order_payments", "order_reviews"]]
+    tables["fact_sales_star"] = write_overwrite(facts.fact_sales_star(*sources, tables), f"{root}/fact_sales_star")
+    tables["star_orphans"] = write_overwrite(facts.star_orphans(*sources[:2], tables), f"{root}/star_orphans")
     return tables
 
 
-def relayout(spark: SparkSession, root: str, target: str) -> dict[str, DataFrame]:
-    """Lay out the two tables that are read by range, in new folders below ``target``."""
+def write_wide(entities: dict[str, DataFrame], fact_orders: DataFrame, root: str) -> dict[str, DataFrame]:
+    """Write the tables of the wide layout below ``root``; ``entities`` by the names of WIDE_TABLES."""
+    frames = {**entities, "fact_orders": fact_orders}
+    return {name: write_overwrite(frames[name], f"{root}/{name}") for name in WIDE_TABLES}
+
+
+def relayout(spark: SparkSession, root: str, target: str, schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
+    """Lay out the two tables that are read by range, in new folders below ``target``.
+
+    Without its schema, as ``write_gold`` returns it with the table, days stay the text of their folders.
+    """
+    schemas = schemas or {}
     return {
-        "dim_customer": cluster_layout(spark, f"{root}/dim_customer", f"{target}/dim_customer", "customer_city"),
+        "dim_customer": cluster_layout(spark, f"{root}/dim_customer", f"{target}/dim_customer", "customer_city",
+                                       schema=schemas.get("dim_customer")),
         "fact_sales_partitioned": compact_files(
-            spark, f"{root}/fact_sales_partitioned", f"{target}/fact_sales_partitioned", "purchase_date", "fact_sales_sk"
+            spark, f"{root}/fact_sales_partitioned", f"{target}/fact_sales_partitioned", "purchase_date", "fact_sales_sk",
+            schemas.get("fact_sales_partitioned"),
         ),
     }
 
 
-def publish_views(spark: SparkSession, root: str, names: list[str], prefix: str = "gold_") -> list[str]:
-    """One SQL view per table folder below ``root``; partition columns come from the path."""
+def publish_views(
+    spark: SparkSession, root: str, names: list[str], prefix: str = "gold_", schemas: dict[str, T.StructType] | None = None
+) -> list[str]:
+    """One SQL view per table folder below ``root``; partition columns come from the path.
+
+    Their types are those of ``schemas``, by table; else Spark guesses them from the folder names.
+    """
     for name in names:
-        scan_table(spark, f"{root}/{name}").createOrReplaceTempView(prefix + name)
+        scan_table(spark, f"{root}/{name}", (schemas or {}).get(name)).createOrReplaceTempView(prefix + name)
     return [prefix + name for name in names]

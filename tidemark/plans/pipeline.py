@@ -15,12 +15,16 @@ from tidemark.sources.tables import table_bytes
 MULTI_LINE = {"order_reviews"}
 
 
-def run(spark: SparkSession, manifest: str, landing: str, root: str, entities: dict[str, str]) -> list[str]:
+def run(
+    spark: SparkSession, manifest: str, landing: str, root: str, entities: dict[str, str], quarantine: bool = False
+) -> list[str]:
     """Ingest the files a manifest lists, clean, model, publish.
 
-    ``entities`` gives the entity of each file name; all files of an entity are read together. Bronze, Silver and Gold lie below
-    ``root``; returns the names of the views. Shuffles are sized for all that was landed: a fact
-    joins most of it.
+    ``entities`` gives the entity of each file name; all files of an entity are read together.
+    Bronze, Silver and Gold lie below ``root``. With ``quarantine``, rows with unreadable values
+    go to ``rejected`` there, with the reason; without it they stay, with the defaults of their
+    columns. Shuffles are sized for all that was landed, since a fact joins most of it. Returns
+    the names of the views.
     """
     tune(spark)
     with_breaks = {name for name, entity in entities.items() if entity in MULTI_LINE}
@@ -36,6 +40,6 @@ def run(spark: SparkSession, manifest: str, landing: str, root: str, entities: d
         for entity, files in paths.items()
     }
     tune(spark, table_bytes(spark, list(bronze.values())))
-    cleaned = silver.write(raw, f"{root}/silver")
-    gold.write_gold(cleaned, f"{root}/gold")
-    return gold.publish_views(spark, f"{root}/gold", gold.STAR_TABLES)
+    cleaned = silver.write(raw, f"{root}/silver", f"{root}/rejected" if quarantine else None)
+    tables = gold.write_gold(cleaned, f"{root}/gold")
+    return gold.publish_views(spark, f"{root}/gold", gold.STAR_TABLES, schemas={n: df.schema for n, df in tables.items()})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.dates import date_parts
 from tidemark.functions.text import collapse_special_runs, full_address
-from tidemark.operators.clean import clean_fields
+from tidemark.operators.clean import clean_fields, flag_bad_rows
 from tidemark.operators.layout import write_overwrite
 
 
@@ -76,6 +76,26 @@ def build(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: BUILDERS[name](df) for name, df in raw.items()}
 
 
-def write(raw: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Clean every entity and write it below ``root``."""
+def quarantine(raw: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """The rows whose values can all be read; the others are written below ``root`` as they came.
+
+    Those have the names of the unreadable columns in ``bad_columns``. A missing value is no
+    unreadable one. A row goes to exactly one of the two.
+    """
+    accepted = {}
+    for name, df in raw.items():
+        types = {f.source: f.type for f in schemas.ENTITIES[name] if f.type != "string"}
+        flagged = flag_bad_rows(df, types)
+        write_overwrite(flagged.where("bad_columns <> ''"), f"{root}/{name}")
+        accepted[name] = flagged.where("bad_columns = ''").drop("bad_columns")
+    return accepted
+
+
+def write(raw: dict[str, DataFrame], root: str, rejected: str | None = None) -> dict[str, DataFrame]:
+    """Clean every entity and write it below ``root``.
+
+    With ``rejected``, rows with unreadable values go below that folder instead; without it
+    they stay, with the defaults of their columns.
+    """
+    raw = quarantine(raw, rejected) if rejected else raw
     return {name: write_overwrite(df, f"{root}/{name}") for name, df in build(raw).items()}
