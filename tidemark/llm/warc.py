@@ -147,18 +147,21 @@ def write_bundles(pages: DataFrame, folder: str, least: int = LEAST_SHARED) -> D
     html = F.coalesce(F.col("html"), F.lit(""))
     keyed = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"),
-        F.when(F.octet_length(html) >= least, F.sha2(html, 256)).alias("digest"),
+        F.xxhash64(html).alias("place"),
+    )
+    # What a page refers to is found without its payload, which then is shuffled once: a note goes
+    # to the place where its page goes, and lies before it there.
+    digest = F.unhex(F.sha2("html", 256))
+    digests = stage(keyed.where(F.octet_length("html") >= least).select("page_id", "place", digest.alias("digest")), "digests")
+    shared = digests.groupBy("digest").agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    notes = digests.join(shared, "digest").where("response IS NOT NULL AND NOT page_id <=> response").groupBy("page_id", "place").agg(
+        F.max("response").alias("refers_to")
     )
-    # Payloads written once need no row here.
-    shared = keyed.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n")
-    ).where("n > 1").select("digest", "response")
-    decided = keyed.join(shared, "digest", "left")
-    revisit = F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response"))
     number = max(1, -(-pages.count() // ROWS_PER_BUNDLE))
-    ranged = decided.select(
-        "page_id", "url", F.when(revisit, F.col("response")).alias("refers_to"), F.xxhash64("html").alias("place"), whole_text("html").alias("text")
-    ).repartitionByRange(number, "page_id", "place").sortWithinPartitions("page_id", "place")
+    order = [F.col("page_id"), F.col("place")]
+    ranged = keyed.select("page_id", "url", F.lit(None).cast("long").alias("refers_to"), "place", whole_text("html").alias("text")).union(
+        notes.select("page_id", F.lit(None).cast("string"), "refers_to", "place", F.lit(b""))
+    ).repartitionByRange(number, *order).sortWithinPartitions(*order, F.col("refers_to").desc_nulls_last())
 
     def write(parts):
         name, records = f"{folder}/bundle-{TaskContext.get().partitionId():08d}.warc.zst", 0
@@ -166,12 +169,17 @@ def write_bundles(pages: DataFrame, folder: str, least: int = LEAST_SHARED) -> D
         group = next(groups, None)
         if group is None:
             return
+        noted = None, None, None
         with written(name) as out:
             bundle = BundleWriter(out)
             while group is not None:
                 rest, payloads = group
-                for page_id, url, refers_to, payload in zip(*(rest.column(c).to_pylist() for c in (0, 1, 2)), payloads, strict=True):
-                    bundle.add(record_id(page_id), record(page_id, url, payload, None if refers_to is None else (refers_to,)))
+                for page_id, url, note, place, payload in zip(*(rest.column(c).to_pylist() for c in range(4)), payloads, strict=True):
+                    if note is not None:
+                        noted = page_id, place, note
+                        continue
+                    refers_to = noted[2:] if noted[:2] == (page_id, place) and noted[2] is not None else None
+                    bundle.add(record_id(page_id), record(page_id, url, payload, refers_to))
                     records += 1
                 group = next(groups, None)
             bundle.close()
@@ -188,6 +196,7 @@ def archive(pages: DataFrame) -> DataFrame:
     that very page_id hold it each. Rows whose page_id is null refer to it like others, and are
     responses where all are null. Equal means equal SHA-256. A null url is written as
     ``about:blank``. An empty table writes no bundle and gives no rows. Other columns are not read.
+    Rows of one page_id with unlike payloads are told apart by a 64-bit hash of these.
     A response's digest is taken again of the payload that was read; one that differs from the
     record's own raises.
     """
