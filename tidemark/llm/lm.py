@@ -191,9 +191,11 @@ class Model:
     def _pair_counts(self, pairs: np.ndarray) -> np.ndarray:
         distinct, back = np.unique(pairs, return_inverse=True)
         out, shard = np.zeros(len(distinct), np.int64), _pair_shard(distinct, len(self.shards))
-        for i, (known, times) in enumerate(zip(self.pairs, self.times, strict=True)):
-            own = np.flatnonzero(shard == i)
-            if len(own) and len(known):
+        order = np.argsort(shard, kind="stable")
+        cuts = np.searchsorted(shard[order], np.arange(len(self.shards) + 1, dtype=np.uint64))
+        for i in np.flatnonzero(np.diff(cuts)):
+            known, times, own = self.pairs[i], self.times[i], order[cuts[i]:cuts[i + 1]]
+            if len(known):
                 at = np.minimum(np.searchsorted(known, distinct[own]), len(known) - 1)
                 out[own] = np.where(known[at] == distinct[own], times[at], 0)
         return out[back]
@@ -371,7 +373,7 @@ def score(docs: DataFrame, divisor: int = HELD_OUT_MOD, rest: int = HELD_OUT_IS)
 
     def judge(parts):
         opened = model.open()
-        for ids, batch in batches(parts, most=4 << 20):
+        for ids, batch in batches(parts):
             tokens, known, base, found = opened.score(batch)
             yield pa.RecordBatch.from_arrays([
                 *ids.columns, pa.array(tokens.astype(np.int64)), pa.array(known), pa.array(np.full(len(batch), model.tokens)),
