@@ -330,6 +330,28 @@ def test_search(spark):
         assert sorted(listed) == list(zip(range(1, 21), best, strict=True))
 
 
+@pytest.mark.parametrize("kind", ["one long", "log-normal", "far apart"])
+def test_search_finds_the_nearest_of_unequal_length(spark, kind):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(3000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "one long":
+        x[-1] *= 100
+    else:
+        x *= np.exp(rng.normal(size=(3000, 1))) if kind == "log-normal" else 10.0 ** rng.choice([-200, 0, 100], (3000, 1))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.search(table).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 3000, 20):
+        scores = (x * x[q]).sum(axis=1)
+        scores[q] = -np.inf
+        assert len(found[q]) == 20
+        hits += len(found[q] & set(np.argsort(-scores, kind="stable")[:20].tolist()))
+    assert hits >= 0.95 * 20 * 150
+
+
 def test_licences(spark):
     mit = f"{licenses.SENTENCES['mit-grant']}:\n\n{licenses.SENTENCES['mit-notice']}.\n\n{licenses.SENTENCES['as-is']}."
     wrapped = "\n".join(mit[i:i + 60] for i in range(0, len(mit), 60)) if False else mit.replace(" of ", "\nof ")

@@ -27,49 +27,73 @@ def _hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(n)
 
 
-def _axes(vectors: np.ndarray, largest: float, tables: int, axes: int, query: bool):
-    """For each table the products of each vector with the signed axes.
-
-    To order by inner product, a vector is shortened to a part of the longest and gets one more
-    component that makes its length 1; a query gets 0 there and length 1.
-    """
-    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    if query:
-        unit, last = vectors / norms, np.zeros_like(norms)
-    else:
-        unit, last = vectors / largest, np.sqrt(np.maximum(0.0, 1.0 - (norms / largest) ** 2))
+def _axes(vectors: np.ndarray, tables: int, axes: int):
+    """For each table the products of each vector's direction with the axes."""
     size = 1 << max(1, int(vectors.shape[1]).bit_length())
     padded = np.zeros((len(vectors), size))
-    padded[:, :vectors.shape[1]], padded[:, vectors.shape[1]:vectors.shape[1] + 1] = unit, last
+    padded[:, :vectors.shape[1]] = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     signs = np.random.default_rng(_SEED).choice([-1.0, 1.0], (tables, 3, size))
     for t in range(tables):
         turned = padded
         for s in signs[t]:
             turned = _hadamard(turned * s)
-        turned = turned[:, :min(axes, size)]
-        yield np.concatenate([turned, -turned], axis=1)
+        yield turned[:, :min(axes, size)]
+
+
+def _nearest(products: np.ndarray, axes: int, probes: int) -> np.ndarray:
+    """The first ``probes`` buckets of each row by product, of the first ``axes`` axes with either sign."""
+    signed = np.concatenate([products[:, :axes], -products[:, :axes]], axis=1)
+    return np.argsort(-signed, axis=1, kind="stable")[:, :probes]
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), np.float64).reshape(len(column), -1)
 
 
-def _hashed(vectors: DataFrame, largest: float, tables: int, axes: int, probes: int, query: bool) -> DataFrame:
-    """node, vector: a row for each table and bucket, of the first ``probes`` buckets by product."""
+def _hashed(vectors: DataFrame, levels: list[int], tables: int, probes: int | None) -> DataFrame:
+    """node, vector: a row for each level, table and bucket that it is in or, with ``probes``, looks into.
+
+    A level is a number of axes, and 0 is the level that is compared whole: one bucket of one table.
+    A vector is in its own level ``axes``, a query looks into all ``levels``.
+    """
     def assign(parts):
         for batch in parts:
             if not len(batch):
                 continue
-            node, vector = batch.columns
-            for t, products in enumerate(_axes(_matrix(vector), largest, tables, axes, query)):
-                nearest = np.argsort(-products, axis=1, kind="stable")[:, :probes]
-                for p in range(nearest.shape[1]):
-                    yield pa.RecordBatch.from_arrays(
-                        [node, pa.array(np.full(len(batch), t)), pa.array(nearest[:, p].astype(np.int64)), vector],
-                        ["node", "tbl", "bucket", "vector"],
-                    )
-
-    return vectors.mapInArrow(assign, "node long, tbl long, bucket long, vector array<double>")
+            node, vector = batch.column(0), batch.column(1)
+            own = None if probes else batch.column(2).to_numpy()
+            for t, products in enumerate(_axes(_matrix(vector), tables, max(levels))):
+                for level in levels:
+                    if not level and t:
+                        continue
+                    some = np.arange(len(batch)) if probes else np.flatnonzero(own == level)
+                    if not len(some):
+                        continue
+                    nearest = _nearest(products[some], level, probes or 1) if level else np.zeros((len(some), 1))
+                    for p in range(nearest.shape[1]):
+                        yield pa.RecordBatch.from_arrays(
+                            [node.take(pa.array(some)), pa.array(np.full(len(some), level)), pa.array(np.full(len(some), t)),
+                             pa.array(nearest[:, p].astype(np.int64)), vector.take(pa.array(some))],
+                            ["node", "axes", "tbl", "bucket", "vector"],
+                        )
+
+    return vectors.mapInArrow(assign, "node long, axes long, tbl long, bucket long, vector array<double>")
+
+
+def _levels(bands: list[tuple[int, int]], axes: int, probes: int) -> dict[int, int]:
+    """The axes for each band of lengths, from the longest band on, given with the numbers of their vectors.
+
+    A long vector is among the nearest of queries that are far from it by direction, which hashing
+    finds by chance only. So a band's axes are the part of all that its vectors and the longer ones
+    are of the table: the fewer, the more of them a query is compared with, and with so few axes
+    that a query would look into every bucket, they are compared whole.
+    """
+    total, so_far, found = sum(n for _, n in bands), 0, {}
+    for band, n in sorted(bands):
+        so_far += n
+        part = -(-axes * so_far // total)
+        found[band] = 0 if 2 * part <= probes else part
+    return found
 
 
 def valid(vectors: DataFrame) -> DataFrame:
@@ -90,7 +114,9 @@ def search(
     Queries are the rows whose vec_id is divisible by ``every``, candidates all but the query's
     own row. Nearest is the largest inner product of the vectors as given, in double precision;
     ties go to the smaller vec_id. Every row is in one bucket of each table; a query looks into
-    ``probes`` buckets of each and its candidates are compared exactly.
+    ``probes`` buckets of each and its candidates are compared exactly. Vectors are hashed by
+    direction; those of unequal length lie in bands of lengths by powers of two below the longest,
+    and longer bands have tables of their own with fewer buckets (``_levels``). All are searched.
 
     Equal vectors are one node, searched for and compared once, and come back at the end as
     their k + 1 smallest ids, which is all that a list can need. A bucket is cut into blocks of
@@ -111,17 +137,25 @@ def search(
         few.groupBy("vector").agg(F.slice(F.array_sort(F.collect_list("vec_id")), 1, k + 1).alias("ids"), F.max("asks").alias("asks"))
         .select(F.monotonically_increasing_id().alias("node"), "vector", "ids", "asks"), "vectors",
     )
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    largest, short, long = nodes.agg(F.max(norm), F.min(F.size("vector")), F.max(F.size("vector"))).first()
+    # Lengths as logarithms, which neither overflow nor vanish.
+    most = F.array_max(F.transform("vector", F.abs))
+    length = F.log2(most) + F.log2(F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / most) * (x / most))) / 2
+    longest, short, long = nodes.agg(F.max(length), F.min(F.size("vector")), F.max(F.size("vector"))).first()
     if short != long:
         raise ValueError(f"vectors of {short} to {long} components")
 
-    index = stage(_hashed(nodes.select("node", "vector"), largest or 1.0, tables, axes, 1, False), "index")
-    blocks = index.groupBy("tbl", "bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    asked = _hashed(nodes.where("asks").select("node", "vector"), largest or 1.0, tables, axes, probes, True)
-    sent = asked.join(blocks, ["tbl", "bucket"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    kept = index.join(blocks, ["tbl", "bucket"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    names = ["tbl", "bucket", "block", "node", "vector"]
+    banded = nodes.withColumn("band", F.floor(F.lit(longest or 0.0) - length).cast("int"))
+    level = _levels([tuple(r) for r in banded.groupBy("band").count().collect()], axes, probes)
+    levels, by_band = sorted(set(level.values())) or [axes], F.create_map(*[F.lit(x) for pair in level.items() for x in pair])
+    own = banded.select("node", "vector", (by_band[F.col("band")] if level else F.lit(axes)).cast("long").alias("axes"))
+    index = stage(_hashed(own, levels, tables, None), "index")
+    cell = ["axes", "tbl", "bucket"]
+    blocks = index.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    asked = _hashed(nodes.where("asks").select("node", "vector"), levels, tables, probes)
+    sent = asked.join(blocks, cell).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    kept = index.join(blocks, cell).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    cell = [*cell, "block"]
+    names = [*cell, "node", "vector"]
 
     def compare(key, left, right):
         out = pa.schema([("query", pa.int64()), ("node", pa.int64()), ("score", pa.float64())])
@@ -137,7 +171,7 @@ def search(
             found.append((np.repeat(query[i:i + 256], wanted), node[best].ravel(), exact.ravel()))
         return pa.table([np.concatenate(c) for c in zip(*found, strict=True)], schema=out)
 
-    pairs = sent.select(*names).groupBy("tbl", "bucket", "block").cogroup(kept.select(*names).groupBy("tbl", "bucket", "block")).applyInArrow(
+    pairs = sent.select(*names).groupBy(*cell).cogroup(kept.select(*names).groupBy(*cell)).applyInArrow(
         compare, "query long, node long, score double"
     ).groupBy("query", "node").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "smallest")
