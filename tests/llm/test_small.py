@@ -368,6 +368,86 @@ def test_licences(spark):
     }
 
 
+FREE = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1}
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+NOTICE = """
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+AS_IS = """
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software"""
+PUBLIC = {  # a notice for each rule, in the order of the rules
+    BSD + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""": "BSD-3-Clause",
+    BSD: "BSD-2-Clause",
+    GRANT + NOTICE + AS_IS: "MIT",
+    GRANT + NOTICE: "MIT",
+    APACHE: "Apache-2.0",
+    FREE.format(";", "; either version 2\nof the License, or (at your option) any later version."): "GPL-2.0-or-later",
+    FREE.format(":", ", either version 3 of the License, or\n(at your option) any later version."): "GPL-3.0-or-later",
+    APACHE.partition("you may")[0]: "Apache-2.0",
+    "Released under the MIT License.": "MIT",
+    "Licensed under the MIT License. See License.txt in the project root.": "MIT",
+    FREE.format(";", "; either version 2\nof the License, or (at your option) any later version.").partition("This program is dis")[0]: "GPL-2.0-or-later",
+    FREE.format(":", ", either version 3 of the License, or\n(at your option) any later version.").partition("This program is dis")[0]: "GPL-3.0-or-later",
+    FREE.format(":", ", version 3 of the License."): "GPL-3.0-only",
+    "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed": "MPL-2.0",
+    "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+    "copyright notice and this permission notice appear in all copies.": "ISC",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "CC-BY-NC-4.0",
+    "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License. To view": "CC-BY-SA-4.0",
+    "This work is licensed under CC BY 4.0. To view a copy of this license, visit": "CC-BY-4.0",
+    "To the extent possible under law, the author(s) have dedicated all copyright\nand related and neighboring rights to this software to the public domain\nworldwide.": "CC0-1.0",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+    "Copyright 2020 Somebody. All rights reserved.": "all-rights-reserved",
+}
+
+
+def test_every_rule_matches_the_public_notice():
+    recogniser = licenses.Recogniser()
+    assert list(PUBLIC.values()) == [r[0] for r in licenses.RULES]
+    for (text, licence), (_, rule) in zip(PUBLIC.items(), licenses.RULES, strict=True):
+        for notice in (text, "\n".join(f" * {line}" for line in text.split("\n"))):
+            names = [n for n, _ in recogniser.sentences(notice)]
+            assert [x[0] for x in recogniser.licences(names)] == [licence], notice
+            assert names[:len(rule)] == rule
+
+
 def test_empty_tables_give_no_rows(spark):
     none = spark.createDataFrame([], DOCS)
     labels = spark.createDataFrame([], "doc_id long, toxic int")

@@ -14,7 +14,7 @@ from tidemark.llm.common import batches, ready, whole_text
 
 MOST_LINES = 12  # lines over which one sentence may be wrapped
 
-# Sentences of public licences, normalised, by identifier.
+# Sentences of public licences, normalised, by identifier; several where notices differ.
 SENTENCES = {
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
     "mit-notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
@@ -26,18 +26,47 @@ SENTENCES = {
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     "bsd-names": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
-    "apache-name": "licensed under the apache license version 2 0",
+    "apache-name": [
+        "licensed under the apache license version 2 0",
+        "licensed under the apache license version 2 0 the license",
+    ],
     "apache-use": "you may not use this file except in compliance with the license",
-    "apache-copy": "you may obtain a copy of the license at http www apache org licenses license 2 0",
-    "gpl-3-name": "this work is licensed under the gnu general public license version 3",
+    "apache-copy": [
+        "you may obtain a copy of the license at http www apache org licenses license 2 0",
+        "you may obtain a copy of the license at https www apache org licenses license 2 0",
+    ],
+    "gpl-3-name": [
+        "this work is licensed under the gnu general public license version 3",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 3",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 3 of the license",
+    ],
     "gpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "gpl-3-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
     "mpl-name": "this source code form is subject to the terms of the mozilla public license v 2 0",
-    "cc-by-name": "licensed under cc by 4 0",
-    "cc-by-sa-name": "licensed under cc by sa 4 0",
-    "cc-by-nc-name": "licensed under cc by nc 4 0",
-    "cc0-name": "to the extent possible under law the author has waived all copyright and related rights to this work",
+    "cc-by-name": [
+        "licensed under cc by 4 0",
+        "this work is licensed under cc by 4 0",
+        "this work is licensed under a creative commons attribution 4 0 international license",
+        "this work is licensed under the creative commons attribution 4 0 international license",
+    ],
+    "cc-by-sa-name": [
+        "licensed under cc by sa 4 0",
+        "this work is licensed under cc by sa 4 0",
+        "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+        "this work is licensed under the creative commons attribution sharealike 4 0 international license",
+    ],
+    "cc-by-nc-name": [
+        "licensed under cc by nc 4 0",
+        "this work is licensed under cc by nc 4 0",
+        "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+        "this work is licensed under the creative commons attribution noncommercial 4 0 international license",
+    ],
+    "cc0-name": [
+        "to the extent possible under law the author has waived all copyright and related rights to this work",
+        "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+        "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
+    ],
     "unlicense-free": "this is free and unencumbered software released into the public domain",
     "reserved": "all rights reserved",
 }
@@ -77,9 +106,9 @@ def normalise(sentence: str) -> str:
 
 
 class Recogniser:
-    def __init__(self, sentences: dict[str, str] = SENTENCES, rules: list = RULES):
+    def __init__(self, sentences: dict[str, str | list[str]] = SENTENCES, rules: list = RULES):
         self.rules = rules
-        self.known = {normalise(s): name for name, s in sentences.items()}
+        self.known = {normalise(s): name for name, forms in sentences.items() for s in ([forms] if isinstance(forms, str) else forms)}
         self.sorted = sorted(self.known)
         # A piece can only begin a sentence if its first word does.
         firsts = "|".join(sorted({s.split(" ")[0] for s in self.sorted}))
@@ -132,7 +161,7 @@ class Recogniser:
         return sorted(found, key=lambda f: f[1])
 
 
-def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: list = RULES) -> DataFrame:
+def scan(docs: DataFrame, sentences: dict[str, str | list[str]] = SENTENCES, rules: list = RULES) -> DataFrame:
     """One row per document: doc_id, n_sentences, licences, sentences, offsets.
 
     ``sentences`` are the identifiers of the known sentences of the whole text in order, with
