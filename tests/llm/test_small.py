@@ -448,6 +448,18 @@ def test_every_rule_matches_the_public_notice():
             assert names[:len(rule)] == rule
 
 
+def test_a_sentence_may_be_wrapped_over_any_number_of_lines():
+    import textwrap
+    recogniser, want = licenses.Recogniser(), ["mit-grant", "mit-notice", "as-is"]
+    parts = [" ".join(t.split()) for t in (GRANT, NOTICE, AS_IS)]
+    for text in [
+        (GRANT + NOTICE + AS_IS).replace("\n", "\n\n"), (GRANT + NOTICE + AS_IS).replace("\n", "\n" * 50),
+        *["\n\n".join(textwrap.fill(p, width, break_long_words=False) for p in parts) for width in (36, 20, 1)],
+    ]:
+        assert [n for n, _ in recogniser.sentences(text)] == want
+    assert recogniser.sentences("Permission is hereby granted" + "\n" * 100_000) == []
+
+
 def test_empty_tables_give_no_rows(spark):
     none = spark.createDataFrame([], DOCS)
     labels = spark.createDataFrame([], "doc_id long, toxic int")

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, ready, whole_text
 
-MOST_LINES = 12  # lines over which one sentence may be wrapped
-
 # Sentences of public licences, normalised, by identifier; several where notices differ.
 SENTENCES = {
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
@@ -123,7 +121,8 @@ class Recogniser:
         """The known sentences in order, each with the offset of its first character.
 
         A sentence ends at a mark or at the end of a line, and may run over several lines: pieces
-        are joined for as long as they still begin a known sentence, and the longest counts.
+        are joined for as long as they still begin a known sentence, and the longest counts. Pieces
+        without a letter or digit, such as blank lines, are passed over.
         """
         found, free = [], 0
         for start in self.first.finditer(text):
@@ -131,17 +130,20 @@ class Recogniser:
             begin = max(start.start(), 0)
             if begin < free:
                 continue
-            so_far, best, pieces = "", None, 0
+            so_far, best = "", None
             position = begin
-            while position < len(text) and pieces < MOST_LINES:
-                stop = _BREAK.search(text, max(position, at) if pieces == 0 else position)
+            while position < len(text):
+                stop = _BREAK.search(text, position if so_far else max(position, at))
                 end = stop.start() if stop else len(text)
-                so_far = f"{so_far} {normalise(text[position:end])}".strip()
+                piece = normalise(text[position:end])
+                position = stop.end() if stop else len(text)
+                if not piece:
+                    continue
+                so_far = f"{so_far} {piece}".strip()
                 if so_far in self.known:
                     best = (self.known[so_far], end)
                 if not self._begins(so_far):
                     break
-                position, pieces = (stop.end() if stop else len(text)), pieces + 1
             if best:
                 found.append((best[0], begin + len(text[begin:]) - len(text[begin:].lstrip())))
                 free = best[1]
