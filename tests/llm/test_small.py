@@ -155,6 +155,19 @@ def test_targets_stop_at_three_times_a_source(spark):
     assert {r.source: pytest.approx(r.target) for r in found} == goal
 
 
+def test_small_sources_are_taken_to_their_targets(spark):
+    sizes = {"a": 20_000, **{f"s{k:02d}": n for k, n in enumerate([1, 2, 7, 30, 100, 400, 700, 1500])}}
+    rows = [(i, " ".join(["w"] * min(50, n - at)), s) for s, n in sizes.items() for i, at in enumerate(range(0, n, 50))]
+    taken, target = Counter(), {}
+    for r in mixing.mix(frame(spark, rows), slot_bits=4).collect():
+        taken[r.source_size] += r.taken
+        target[r.source_size] = r.target
+        assert 0 <= r.taken <= 3 * r.size
+    assert set(target) == set(sizes.values())
+    assert all(abs(taken[n] - target[n]) <= 0.5 for n in target)
+    assert all(target[n] == 3 * n for n in target if n < 1500)
+
+
 def test_bounds_are_the_best_there_are():
     import itertools
     rng = np.random.default_rng(3)

@@ -10,8 +10,9 @@ from tidemark.session import stage
 
 WEIGHTS = (5, 2, 1)    # by source, in the order of the code points, repeating
 MOST_PASSES = 3        # a document may be taken so often at most
-SLOT_BITS = 18         # 2^18 slots; a block is the 2^18th part of all words
-STRATA = 1024          # equal parts of the unit interval, for looking up a slot's source
+SLOT_BITS = 18         # 2^18 slots, more where a block would be longer than BLOCK_WORDS
+BLOCK_WORDS = 512      # words of a slot at most
+STRETCH = 1024         # slots that are looked up or added up together, at most
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -56,40 +57,48 @@ def van_der_corput(slot: Column, bits: int) -> Column:
     return F.conv(F.reverse(F.lpad(F.bin(slot), bits, "0")), 2, 10).cast("long")
 
 
-def schedule(goals: DataFrame, bits: int = SLOT_BITS) -> DataFrame:
-    """The sources in the order in which training meets them: slot, source_no, turn.
+def schedule(goals: DataFrame, block: int, bits: int) -> DataFrame:
+    """The sources in the order in which training meets them: slot, source_no, begin, words.
 
-    Slot ``j`` looks up the van der Corput point of ``j`` in the running targets, so that every
-    stretch of the schedule has nearly the target weights. ``turn`` ranks the slots of a source.
-    There are 2^bits slots for any amount of text; the sources come to their slots by a join on
-    strata of the unit interval, never one by one.
+    The targets, in whole words, lie end to end. Slot ``j`` takes the ``block`` words at the van
+    der Corput point of ``j``, so that every stretch of the schedule has nearly the target weights
+    and all slots together have the targets themselves; a slot across the end of a target is
+    shared. ``begin`` is the number of words of the source in earlier slots. There are 2^bits
+    slots, of which those beyond all targets are empty; the sources come to their slots by a join
+    on strata, never one by one.
     """
     spark, points = goals.sparkSession, 1 << bits
-    order = Window.orderBy("source_no")
-    share = F.col("target") / F.sum("target").over(Window.partitionBy())
-    ends = goals.withColumn("share", F.coalesce(share, F.lit(0.0))).withColumn(
-        "upto", F.rint(F.sum("share").over(order.rowsBetween(Window.unboundedPreceding, 0)) * points).cast("long")
-    )
-    ranges = ends.withColumn("from", F.coalesce(F.lag("upto").over(order), F.lit(0).cast("long"))).where("upto > from")
-    width = max(1, points // STRATA)
-    ranges = ranges.select(
-        "source_no", "from", "upto", F.explode(F.sequence(F.expr(f"`from` div {width}"), F.expr(f"(upto - 1) div {width}"))).alias("stratum")
-    )
+    order = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = goals.select("source_no", F.rint("target").cast("long").alias("wanted")).withColumn("upto", F.sum("wanted").over(order))
+    ranges = wanted.where("wanted > 0").select("source_no", (F.col("upto") - F.col("wanted")).alias("from"), "upto")
+    width = max(1, min(points // STRETCH, STRETCH))
+    ranges = ranges.withColumn("stratum", F.explode(F.sequence(
+        F.expr(f"`from` div {block * width}"), F.expr(f"(upto - 1) div {block * width}")
+    )))
     slots = spark.range(points).select(F.col("id").alias("slot"), van_der_corput(F.col("id"), bits).alias("point"))
-    placed = slots.withColumn("stratum", F.expr(f"point div {width}")).join(ranges, "stratum").where("point >= `from` AND point < upto")
-    # The rank of a slot: stretches of the schedule are counted first, then the slots inside.
-    stretch = max(1, points // 256)
-    placed = placed.select("slot", "source_no", F.expr(f"slot div {stretch}").alias("stretch"))
-    counts = placed.groupBy("source_no", "stretch").agg(F.count(F.lit(1)).alias("n"))
+    slots = slots.select("slot", F.expr(f"point div {width}").alias("stratum"), (F.col("point") * block).alias("low"))
+    words = F.least("upto", F.col("low") + block) - F.greatest("from", "low")
+    placed = slots.join(ranges, "stratum").select("slot", "source_no", words.alias("words")).where("words > 0")
+    # The words of earlier slots: stretches of the schedule are added up first, then the slots inside.
+    stretch = max(1, min(points // 256, STRETCH))
+    placed = placed.withColumn("stretch", F.expr(f"slot div {stretch}"))
+    sums = placed.groupBy("source_no", "stretch").agg(F.sum("words").alias("n"))
     lower = Window.partitionBy("source_no").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("source_no", "stretch", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("earlier"))
-    inside = F.row_number().over(Window.partitionBy("source_no", "stretch").orderBy("slot"))
-    ranked = placed.withColumn("inside", inside).join(offsets, ["source_no", "stretch"])
-    return ranked.select("slot", "source_no", (F.col("earlier") + F.col("inside") - 1).alias("turn"))
+    offsets = sums.select("source_no", "stretch", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("earlier"))
+    before = Window.partitionBy("source_no", "stretch").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = placed.withColumn("inside", F.coalesce(F.sum("words").over(before), F.lit(0))).join(offsets, ["source_no", "stretch"])
+    return ranked.select("slot", "source_no", (F.col("earlier") + F.col("inside")).alias("begin"), "words")
 
 
-def blocks(sizes: DataFrame, goals: DataFrame, block: float, bits: int) -> DataFrame:
-    """Documents cut into blocks: row, source_no, block, words.
+def _cut(spans: DataFrame, block: int, *names: str) -> DataFrame:
+    """The spans ``low`` to ``high`` cut at the multiples of ``block``, each piece with the block that it is in."""
+    cut = spans.where("high > low").withColumn("block", F.explode(F.sequence(F.expr(f"low div {block}"), F.expr(f"(high - 1) div {block}"))))
+    low, high = F.greatest("low", F.col("block") * block), F.least("high", (F.col("block") + 1) * block)
+    return cut.select(*names, "source_no", "block", low.alias("low"), high.alias("high"))
+
+
+def blocks(sizes: DataFrame, goals: DataFrame, block: int, bits: int) -> DataFrame:
+    """Documents cut into blocks: row, source_no, block, and the words of the source, low to high.
 
     The documents of a source lie end to end in a shuffled order; block ``k`` is the words from
     ``k * block`` on. A document has a row for each block that it reaches into.
@@ -97,23 +106,31 @@ def blocks(sizes: DataFrame, goals: DataFrame, block: float, bits: int) -> DataF
     named = sizes.where("size > 0").join(
         goals.select("source", "source_no"), sizes["source"].eqNullSafe(goals["source"])
     ).select("row", "size", "place", "source_no")
-    laid = running_sum(named, ["source_no"], ["place", "row"], "size", "begin", bits)
-    end = F.col("begin") + F.col("size")
-    laid = laid.withColumn("block", F.explode(F.sequence(
-        F.floor(F.col("begin") / block), F.greatest(F.floor(F.col("begin") / block), F.floor((end - 1) / block))
-    )))
-    low = F.greatest(F.col("begin"), F.ceil(F.col("block") * block))
-    high = F.least(end, F.ceil((F.col("block") + 1) * block))
-    return laid.select("row", "source_no", "block", (high - low).alias("words")).where("words > 0")
+    laid = running_sum(named, ["source_no"], ["place", "row"], "size", "low", bits)
+    return _cut(laid.withColumn("high", F.col("low") + F.col("size")), block, "row")
+
+
+def passes(slots: DataFrame, goals: DataFrame, block: int) -> DataFrame:
+    """What the slots take of each source, cut into blocks: source_no, block, low, high.
+
+    A source's words are read in turn, from the first again after the last, so that a slot may
+    take the end of one pass and the beginning of the next, or several passes of a short source.
+    """
+    read = slots.join(goals.select("source_no", "source_size"), "source_no").withColumn("end", F.col("begin") + F.col("words"))
+    read = read.withColumn("pass", F.explode(F.sequence(F.expr("begin div source_size"), F.expr("(end - 1) div source_size"))))
+    first = F.col("pass") * F.col("source_size")
+    return _cut(read.select(
+        "source_no", (F.greatest("begin", first) - first).alias("low"), (F.least("end", first + F.col("source_size")) - first).alias("high")
+    ), block)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PASSES, slot_bits: int = SLOT_BITS) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (and its mark).
 
-    ``taken`` is the number of words that the schedule takes of it, repeats counted. A source's
-    ``turn``-th slot takes its block ``turn % blocks``; a pass over a source's blocks ends before
-    the next begins, and there are ``most`` passes at most. The block is a share of all words,
-    so a mix has as many slots for any input, and a source is met to within a few blocks.
+    ``taken`` is the number of words that the schedule takes of it, repeats counted. The slots of
+    a source read its words one after another; a pass over a source ends before the next begins,
+    and there are ``most`` passes at most. Slots grow in number with the text, to BLOCK_WORDS words
+    each at most, and a source of any size is met to the word.
 
     Null texts and texts without words have size 0 and are never taken. A null source is a
     source of its own, last in the order. Copies of a row are documents of
@@ -123,15 +140,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PA
     sizes = stage(sized(docs), "mix_sizes")
     goals = stage(targets(sizes, weights, most), "mix_targets")
     total, rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    bits = min(slot_bits, max(0, total.bit_length() - 1))
-    block = max(total, 1) / (1 << bits)
-    slots = schedule(goals, bits)
-    number = F.greatest(F.lit(1), F.ceil(F.col("source_size") / block))
-    counted = slots.join(goals.select("source_no", number.alias("blocks")), "source_no").where(F.col("turn") < F.col("blocks") * most)
-    often = counted.groupBy("source_no", F.pmod("turn", "blocks").alias("block")).agg(F.count(F.lit(1)).alias("times"))
+    wanted = goals.agg(F.coalesce(F.sum(F.rint("target").cast("long")), F.lit(0))).first()[0]
+    bits = max(min(slot_bits, max(0, total.bit_length() - 1)), (wanted // BLOCK_WORDS).bit_length())
+    block = max(1, -(-wanted // (1 << bits)))
+    read = passes(schedule(goals, block, bits), goals, block).select(
+        "source_no", "block", F.col("low").alias("from"), F.col("high").alias("upto")
+    )
+    words = F.least("high", "upto") - F.greatest("low", "from")
     taken = (
-        blocks(sizes, goals, block, slice_bits(rows)).join(often, ["source_no", "block"])
-        .groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+        blocks(sizes, goals, block, slice_bits(rows)).join(read, ["source_no", "block"])
+        .select("row", words.alias("words")).where("words > 0").groupBy("row").agg(F.sum("words").alias("taken"))
     )
     named = sizes.join(goals, sizes["source"].eqNullSafe(goals["source"]))
     return named.join(taken, "row", "left").select(
