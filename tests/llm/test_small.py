@@ -287,6 +287,17 @@ def test_pieces_have_the_ids_of_the_whole_text(monkeypatch):
     assert got == [np.array([*e.ids, 0], "<u2").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_have_the_ids_of_the_plain_call():
+    import random
+    random.seed(6)
+    parts = ["a", " w", "  ", " ", "\n", "\n\n", "don't", "'s", ".", "1", "é", "\t", "<|endof", "text|>", "<|endoftext|>", "<|endoftext|>"]
+    texts = ["one<|endoftext|>two", "<|endoftext|>", "", *("".join(random.choices(parts, k=random.randint(0, 9))) for _ in range(5000))]
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    got = token_files.encoder(VOCABULARY, "<u2")([t.encode() for t in texts])
+    assert got[0] == np.array([505, 50256, 11545, 0], "<u2").tobytes()
+    assert got == [np.array([*e.ids, 0], "<u2").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_one_document_is_read_by_its_index_entry(docs, tmp_path):
     written = token_files.write_files(docs, f"file://{tmp_path}/t", VOCABULARY, docs.count()).collect()
     found = [x for r in written for x in token_files.read_file(r.file, wanted={9})]

@@ -10,6 +10,7 @@ document is read by its index entry alone.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -56,11 +57,21 @@ class Encoder:
 
     Pieces are known by a 64-bit hash, in sorted arrays: with two million pieces any two have
     one hash with a chance of one in nine million.
+
+    With ``added``, the vocabulary's added tokens, such as <|endoftext|>, are found in a text as
+    the library finds them by itself, and what is between them is encoded as texts of its own.
+    Without, what looks like a special token is text.
     """
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, dtype: str, added: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # what looks like a special token is text
+        tokens = {t.content.encode(): (i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items()} if added else {}
+        if any(t.lstrip or t.rstrip or t.single_word or (t.normalized and self.tokenizer.normalizer) for _, t in tokens.values()):
+            raise ValueError("the vocabulary has added tokens that take more than their own characters")
+        self.added = {content: np.array([i], dtype).tobytes() for content, (i, _) in tokens.items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")") if longest else None
+        self.tokenizer.encode_special_tokens = True  # pieces hold none
         self.dtype, self.width = dtype, int(dtype[-1])
         vocabulary = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -109,6 +120,15 @@ class Encoder:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text and the end, as bytes."""
+        end = np.array([END_ID], self.dtype).tobytes()
+        if not self.cuts:
+            return [ids + end for ids in self._ids(texts)]
+        parts = [self.cuts.split(t) for t in texts]  # every other part is an added token
+        between = iter(self._ids([x for p in parts for x in p[::2]]))
+        return [b"".join(self.added[x] if k % 2 else next(between) for k, x in enumerate(p)) + end for p in parts]
+
+    def _ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, as bytes."""
         if not texts:
             return []
         joined = b"".join(t + b"\t" for t in texts)  # a blank, before which no rule cuts a space off
@@ -138,15 +158,14 @@ class Encoder:
         count = self.count[place]
         done = np.concatenate([[0], np.cumsum(count)])
         ids = self.pool[np.repeat(self.at[place] - done[:-1], count) + np.arange(done[-1])].tobytes()
-        end = np.array([END_ID], self.dtype).tobytes()
         from_, to = (done[np.searchsorted(first, x)] * self.width for x in (begins, ends))
-        return [ids[a:b] + end for a, b in zip(from_.tolist(), to.tolist(), strict=True)]
+        return [ids[a:b] for a, b in zip(from_.tolist(), to.tolist(), strict=True)]
 
 
 def encoder(path: str, dtype: str) -> Encoder:
     """The encoder of this worker, which outlives a task."""
     if (path, dtype) not in _ENCODERS:
-        _ENCODERS[path, dtype] = Encoder(path, dtype)
+        _ENCODERS[path, dtype] = Encoder(path, dtype, added=True)
     return _ENCODERS[path, dtype]
 
 
@@ -164,7 +183,7 @@ def train_dictionary(docs: DataFrame, path: str, dtype: str) -> bytes:
     short = docs.where(text.isNotNull() & (F.length(text) <= SAMPLE_CHARS)).select(F.xxhash64(text).alias("place"), "text")
     lowest = short.groupBy("place").agg(F.lit(1).alias("one")).orderBy("place").limit(SAMPLE_DOCS).select("place")
     chosen = short.join(F.broadcast(lowest), "place").groupBy("place").agg(F.min("text").alias("text")).collect()
-    samples = Encoder(path, dtype)([r.text.encode() for r in sorted(chosen)])
+    samples = Encoder(path, dtype, added=True)([r.text.encode() for r in sorted(chosen)])
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -254,7 +273,8 @@ def read_file(name: str, wanted: set[int] | None = None) -> Iterator[tuple[int |
 def encode_files(docs: DataFrame, path: str) -> DataFrame:
     """One row per document, from the files read back: doc_id, start, n_tokens, ids_crc32.
 
-    ``path`` is the vocabulary file. A document's ids end in id 0. ``start`` is the number of
+    ``path`` is the vocabulary file. The vocabulary's added tokens, such as <|endoftext|>, are
+    recognised in a text, as by the library's own call. A document's ids end in id 0. ``start`` is the number of
     ids of all documents before it, by ascending doc_id, null ids first; rows of one doc_id lie
     in the order of a hash of their text. ``ids_crc32`` is that of the ids as little-endian
     32-bit numbers. A null or empty text has the end only. An empty table writes no file and
