@@ -16,7 +16,7 @@ def test_query_gives_the_rows_of_its_oracle(spark, oracle, sf_dir, name):
 
 
 def test_every_number_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
     assert "pipeline" in QUERIES
 
 

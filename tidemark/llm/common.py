@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import tune
+from tidemark.session import stage, tune
 
 # A word is a run of anything but the six ASCII blanks; bytes.split() cuts at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -101,6 +101,16 @@ def running_sum(df: DataFrame, by: list[str], order: list[str], value: str, name
     return joined.withColumn(name, (F.col("_offset") + F.col("_before")).cast("long")).drop("_slice", "_offset", "_before")
 
 
+def in_slices(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """The rows with a column ``_slice``: a number that rises from range to range of ``order``.
+
+    Ranges are cut from a sample, and a key with very many rows is cut by the later columns of
+    ``order``; rows equal in all of them lie in one slice. The slices are written to a table, so that
+    all that is made of them sees the same ones. Give it narrow rows.
+    """
+    return stage(df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()), name)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)

@@ -8,7 +8,9 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, exact_dedup, licenses, lm, mixing, near_dedup, packing, token_files, toxicity, warc
+from tidemark.llm import (
+    ann, exact_dedup, imatch, licenses, lm, mixing, near_dedup, packing, prefix_trie, token_files, toxicity, vector_codes, warc,
+)
 from tidemark.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +84,21 @@ def op10(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).drop("mark")
 
 
+@query("op11_vector_codes", vector_codes.ORACLE_SQL)
+def op11(spark, sf_dir):
+    return vector_codes.encode(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op12_imatch", imatch.ORACLE_SQL)
+def op12(spark, sf_dir):
+    return imatch.compare_edited(documents(spark, sf_dir))
+
+
+@query("op13_prefix_trie", prefix_trie.ORACLE_SQL)
+def op13(spark, sf_dir):
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
