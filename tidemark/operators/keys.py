@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import stage
+from tidemark.sources.tables import table_or_empty
 
 BUCKET_DIGITS = 4            # 16^4 = 65,536 buckets of rows at least
 COPIES_PER_TASK = 1_000_000  # copies of one row that one task writes out
@@ -89,6 +93,40 @@ def surrogate_key(
     return small.unionByName(spread)
 
 
+def same_key(left: str, right: str, key: list[str]) -> Column:
+    """Equality of the key columns of two aliased frames; null equals null."""
+    return reduce(and_, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in key])
+
+
+def key_map(keys: DataFrame, name: str, path: str) -> DataFrame:
+    """The stored numbers of ``keys`` and of all keys before: the key's columns and ``name``.
+
+    A key that an earlier load has numbered keeps its number; new ones are numbered after the
+    largest, in the order of their digests, and added to the table at ``path``. So the numbers are
+    0, 1, 2 … without gaps, and a load that is repeated changes none. A load that broke off while
+    its numbers were being published may leave a gap, but gives no number twice. Loads of one
+    map must follow each other. Only the columns of the key are read and shuffled.
+    """
+    spark, key = keys.sparkSession, keys.columns
+    schema = T.StructType([*keys.schema.fields, T.StructField(name, T.LongType())])
+    known = table_or_empty(spark, path, schema)
+    fresh = keys.distinct().alias("k").join(known.alias("m"), same_key("k", "m", key), "left_anti")
+    after = known.agg(F.coalesce(F.max(name) + 1, F.lit(0).cast("long"))).first()[0]
+    numbered = surrogate_key(fresh, name, key=key)
+    numbered.select(*[f"`{k}`" for k in key], (F.col(name) + after).alias(name)).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def stable_key(df: DataFrame, name: str, key: list[str], path: str) -> DataFrame:
+    """Number rows by the stored map at ``path``, first, so that a key has one number in all loads.
+
+    Rows of one key share its number. Not lazy: see ``key_map``.
+    """
+    numbers = key_map(df.select(*[f"`{k}`" for k in key]), name, path)
+    columns = [F.col(f"d.`{c}`") for c in df.columns]
+    return df.alias("d").join(numbers.alias("m"), same_key("d", "m", key)).select(F.col(f"m.{name}"), *columns)
+
+
 def surrogate_key_lookup(
     fact: DataFrame, dim: DataFrame, fact_key: str, natural_key: str, dim_sk: str, alias: str
 ) -> DataFrame:

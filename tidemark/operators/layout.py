@@ -53,6 +53,24 @@ def write_partitioned(df: DataFrame, path: str, by: str, cluster_by: str | None
     return scan_table(df.sparkSession, path, df.schema).select(*[f"`{c}`" for c in df.columns])
 
 
+def replace_folders(df: DataFrame, path: str, by: str, emptied: list[str]) -> DataFrame:
+    """Replace the folders of the values of ``by`` that ``df`` holds, and leave all others alone.
+
+    ``df`` reads nothing below ``path``. The values in ``emptied`` have no rows any more and lose
+    their folders. The same call again, as after a failure, gives the same folders. Values are plain
+    text that folder names need not escape.
+    """
+    spark = df.sparkSession
+    (
+        df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(by).parquet(path)
+    )
+    for value in emptied:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return scan_table(spark, path, df.schema).select(*[f"`{c}`" for c in df.columns])
+
+
 def cluster_layout(
     spark: SparkSession, source: str, target: str, by: str, files: int | None = None, schema: T.StructType | None = None
 ) -> DataFrame:

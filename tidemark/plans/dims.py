@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from tidemark.operators.clean import dedupe_by_key, fill_nulls, rename_columns
 from tidemark.operators.joins import with_category_translation
 from tidemark.operators.keys import surrogate_key
 
+# The columns of the dimensions and the text for what is not known.
 UNKNOWN = "Unknown"
 
+# Numbers the rows of a frame under a name, first.
+Number = Callable[[DataFrame, str], DataFrame]
+
 
-def dim_customer(customers: DataFrame) -> DataFrame:
+def dim_customer(customers: DataFrame, number: Number = surrogate_key) -> DataFrame:
     rows = rename_columns(customers, {"customer_id": "natural_customer_key"}).select(
         "natural_customer_key", "customer_unique_id", "customer_zip_code", "customer_city", "customer_state",
         "customer_full_address",
@@ -20,10 +26,10 @@ def dim_customer(customers: DataFrame) -> DataFrame:
         "natural_customer_key": UNKNOWN, "customer_unique_id": UNKNOWN, "customer_zip_code": 0,
         "customer_city": UNKNOWN, "customer_state": UNKNOWN, "customer_full_address": UNKNOWN,
     })
-    return surrogate_key(filled, "customer_sk")
+    return number(filled, "customer_sk")
 
 
-def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
+def dim_product(products: DataFrame, translation: DataFrame, number: Number = surrogate_key) -> DataFrame:
     """``category_english`` stays null where the category has no translation."""
     sizes = [
         "product_weight_grams", "product_length_centimeter", "product_height_centimeter", "product_width_centimeter",
@@ -36,17 +42,17 @@ def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
         "product_category_name": "category",
         "product_category_name_english": "category_english",
     })
-    return surrogate_key(rows.select("natural_product_key", "category", "category_english", *sizes), "product_sk")
+    return number(rows.select("natural_product_key", "category", "category_english", *sizes), "product_sk")
 
 
-def dim_seller(sellers: DataFrame) -> DataFrame:
+def dim_seller(sellers: DataFrame, number: Number = surrogate_key) -> DataFrame:
     rows = rename_columns(sellers, {"seller_id": "natural_seller_key"}).select(
         "natural_seller_key", "seller_zip_code", "seller_city", "seller_state"
     )
     filled = fill_nulls(rows, {
         "natural_seller_key": UNKNOWN, "seller_zip_code": 0, "seller_city": UNKNOWN, "seller_state": UNKNOWN,
     })
-    return surrogate_key(filled, "seller_sk")
+    return number(filled, "seller_sk")
 
 
 def dim_geolocation(geolocation: DataFrame) -> DataFrame:

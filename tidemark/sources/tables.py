@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,16 @@ def table_bytes(spark: SparkSession, paths: str | list[str]) -> int:
     return files.agg(F.sum("length")).first()[0] or 0
 
 
+def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``; no rows before a first load has written it."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def scan_folders(spark: SparkSession, path: str, by: str) -> DataFrame:
     """A table with the folder names of ``by`` kept as text, so that ``01`` and ``1`` stay apart."""
     schema = spark.read.parquet(path).schema
