@@ -71,6 +71,31 @@ def drop_header_row(spark, d):
     return clean.drop_header_row(csv.scan_csv_positional(spark, path, PAYMENT_TEXT))
 
 
+# Payments as lines of text: some with a field too many, one too few, or a quote that does not close.
+PAYMENT_LINES = """
+    SELECT *, CASE WHEN n % 11 = 3 THEN good || ',EXTRA' WHEN n % 13 = 5 THEN split_part(good, ',', 1) || ',' || split_part(good, ',', 2)
+        WHEN n % 17 = 7 THEN good || ',"open' ELSE good END AS line,
+      CASE WHEN n % 11 = 3 OR n % 13 = 5 THEN 'field count' WHEN n % 17 = 7 THEN 'open quote' END AS reason
+    FROM (SELECT *, CAST(order_id AS BIGINT) AS n, concat_ws(',', order_id, payment_sequential, coalesce(payment_type, ''),
+      payment_installments, payment_value) AS good FROM {raw_order_payments}) p"""
+
+
+@query("reject_malformed_lines", f"""
+    SELECT order_id, payment_sequential, payment_type, payment_installments, payment_value, CAST(NULL AS VARCHAR) AS line, 'accepted' AS outcome
+    FROM ({PAYMENT_LINES}) WHERE reason IS NULL
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, line, reason FROM ({PAYMENT_LINES}) WHERE reason IS NOT NULL""")
+def reject_malformed_lines(spark, d):
+    path = shared_dir(spark, "payment_lines")
+    lines = spark.sql(PAYMENT_LINES, raw_order_payments=frame(spark, d, "raw_order_payments")).select("line")
+    header = spark.createDataFrame([(",".join(PAYMENT_TEXT),)], "line string")
+    # A header in each of two files.
+    header.unionByName(lines.where("length(line) % 2 = 0")).coalesce(1).write.text(path)
+    header.unionByName(lines.where("length(line) % 2 = 1")).coalesce(1).write.mode("append").text(path)
+    good, bad = csv.scan_csv_checked(spark, path, PAYMENT_TEXT)
+    return good.withColumns({"line": F.lit(None).cast("string"), "outcome": F.lit("accepted")}).unionByName(
+        bad.withColumnRenamed("reason", "outcome"), allowMissingColumns=True)
+
+
 @query("scan_lookup", "SELECT * FROM {f_category}")
 def scan_lookup(spark, d):
     path = shared_dir(spark, "category_json")

@@ -95,8 +95,8 @@ def load_star(spark: SparkSession, feeds: dict[str, DataFrame], root: str, load:
     ``feeds`` has all entities of KEYS and PARTS, empty ones too; loads have rising numbers, and the
     last may be run again. Of the entities in KEYS a later row replaces the earlier one of its key,
     and a corrected order may change its month; items, payments and reviews are added to their order
-    whenever they come. Returns the tables as they are after the load: the fact has the keys of its
-    dimensions, and every one of them has a row.
+    whenever they come. Returns the tables as they are after the load, to be read until the next one:
+    the fact has the keys of its dimensions, and every one of them has a row.
 
     How it is spread. The fact rows of the orders that the load mentions are made anew from all that
     was landed of them; the months they lie or lay in are rewritten with the other orders' rows,

@@ -22,13 +22,14 @@ def run(
 
     ``entities`` gives the entity of each file name; all files of an entity are read together.
     Bronze, Silver and Gold lie below ``root``. With ``quarantine``, rows with unreadable values
-    go to ``rejected`` there, with the reason; without it they stay, with the defaults of their
-    columns. Shuffles are sized for all that was landed, since a fact joins most of it. Returns
+    go to ``rejected`` there and lines that do not fit their header to ``rejected/lines``, with the
+    reason; without it they stay, cut or filled up and with the defaults of their columns. Shuffles are sized for all that was landed, since a fact joins most of it. Returns
     the names of the views.
     """
     tune(spark)
     with_breaks = {name for name, entity in entities.items() if entity in MULTI_LINE}
-    bronze = manifest_ingest(spark, manifest, landing, f"{root}/bronze", with_breaks)
+    bronze = manifest_ingest(
+        spark, manifest, landing, f"{root}/bronze", with_breaks, f"{root}/rejected/lines" if quarantine else None)
     unknown = sorted(set(bronze) - set(entities))
     if unknown:
         raise ValueError(f"listed files without an entity: {', '.join(unknown)}")

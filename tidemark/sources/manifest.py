@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.csv import CSV_FORMAT, write_csv_quoted
+from tidemark.sources.csv import CSV_FORMAT, scan_csv_checked, write_csv_quoted
 
 # Keys of a manifest entry.
 MANIFEST_SCHEMA = T.StructType([
@@ -21,22 +21,28 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest_ingest(
-    spark: SparkSession, manifest_path: str, landing: str, bronze: str, multi_line: set[str] = frozenset()
+    spark: SparkSession, manifest_path: str, landing: str, bronze: str, multi_line: set[str] = frozenset(),
+    rejected: str | None = None,
 ) -> dict[str, str]:
     """Copy each listed file from ``landing`` to ``bronze`` under its name, fully quoted.
 
     The manifest has one entry per entity and is read on the driver; the files are read and
     written by tasks. Returns the Bronze path per file name. ``multi_line`` names the files
-    whose quoted fields hold line breaks.
+    whose quoted fields hold line breaks. With ``rejected``, lines that do not fit their header go
+    below that folder under the file's name, with the reason; without it a plain read cuts or fills
+    them up.
     """
     copied = {}
     for entry in read_manifest(spark, manifest_path).where(F.col("file_name").isNotNull()).toLocalIterator():
         name = entry.file_name
         if name in copied:
             raise ValueError(f"the manifest lists {name} twice")
-        rows = spark.read.options(**CSV_FORMAT, header=True, multiLine=name in multi_line).csv(
-            f"{landing.rstrip('/')}/{entry.csv_relative_url}"
-        )
+        path = f"{landing.rstrip('/')}/{entry.csv_relative_url}"
+        if rejected:
+            rows, malformed = scan_csv_checked(spark, path, multi_line=name in multi_line)
+            malformed.write.mode("overwrite").parquet(f"{rejected.rstrip('/')}/{name}")
+        else:
+            rows = spark.read.options(**CSV_FORMAT, header=True, multiLine=name in multi_line).csv(path)
         if name in multi_line:  # one task reads it; let several write it, and read it later
             rows = rows.hint("rebalance")
         copied[name] = f"{bronze.rstrip('/')}/{name}"

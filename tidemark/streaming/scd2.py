@@ -5,8 +5,16 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators.layout import replace_folders
+from tidemark.session import stage
+from tidemark.sources.tables import table_or_empty
+
+BUCKET = "_bucket"
+BUCKETS = 256
 
 
 def scd2_merge(
@@ -55,3 +63,37 @@ def scd2_update(
     both = opened.select(*key, "valid_from", first, *attributes).unionByName(newest)
     again = scd2_merge(both, key, "valid_from", attributes, sequence=["_new"])
     return stored.join(named.alias("n"), same, "left_anti").unionByName(again)
+
+
+def _bucket(key: list[str], buckets: int) -> Column:
+    """A key's folder. The number of buckets is part of its name, so that two cannot be mixed."""
+    return F.concat(F.lit(f"{buckets}-"), F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("string"))
+
+
+def scd2_merge_into(
+    path: str, changes: DataFrame, key: list[str], day: str, attributes: list[str], sequence: list[str] | None = None,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """Merge changes into the history stored at ``path`` and return it: ``scd2_update`` in place.
+
+    The history lies in buckets of keys, and only those of changed keys are read and rewritten;
+    files of the others stay. Changes that are merged again, as after a failure, change nothing.
+    A table keeps the number of buckets that it was begun with: choose it so that a bucket is some
+    files' worth, and far more than the keys of a usual load. Loads of one table follow each other; a frame read
+    before a load is not to be used after it.
+    """
+    spark = changes.sparkSession
+    fields = {f.name: f for f in changes.schema}
+    schema = T.StructType([
+        *[fields[c] for c in [*key, *attributes]], T.StructField("valid_from", T.DateType()), T.StructField("valid_to", T.DateType()),
+        T.StructField("is_current", T.BooleanType()), T.StructField(BUCKET, T.StringType()),
+    ])
+    stored = table_or_empty(spark, path, schema)
+    begun = stored.select(BUCKET).distinct().where(~F.col(BUCKET).startswith(f"{buckets}-")).first()
+    if begun:
+        raise ValueError(f"{path} has {begun[0].split('-')[0]} buckets, not {buckets}")
+    named = stage(changes.select(*key, day, *attributes, *(sequence or [])), "changes")
+    touched = [row[0] for row in named.select(_bucket(key, buckets)).distinct().collect()]  # at most ``buckets``
+    history = stored.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    merged = scd2_update(history, named, key, day, attributes, sequence).withColumn(BUCKET, _bucket(key, buckets))
+    return replace_folders(stage(merged, "history"), path, BUCKET, []).drop(BUCKET)
