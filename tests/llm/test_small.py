@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
+import time
 import zlib
 from collections import Counter
 
@@ -458,6 +460,16 @@ PUBLIC = {  # a notice for each rule, in the order of the rules
     "This work is licensed under CC BY 4.0. To view a copy of this license, visit": "CC-BY-4.0",
     "To the extent possible under law, the author(s) have dedicated all copyright\nand related and neighboring rights to this software to the public domain\nworldwide.": "CC0-1.0",
     "This is free and unencumbered software released into the public domain.": "Unlicense",
+    "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+    "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.": "LGPL-2.1-or-later",
+    "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published\n"
+    "by the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.": "AGPL-3.0-or-later",
+    "// SPDX-License-Identifier: MIT": "MIT",
+    "/* SPDX-License-Identifier: Apache-2.0 */": "Apache-2.0",
+    "# SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause",
+    "SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0-only",
+    "SPDX-License-Identifier: GPL-3.0-or-later": "GPL-3.0-or-later",
+    "SPDX-License-Identifier: MPL-2.0": "MPL-2.0",
     "Copyright 2020 Somebody. All rights reserved.": "all-rights-reserved",
 }
 
@@ -472,6 +484,56 @@ def test_every_rule_matches_the_public_notice():
             assert names[:len(rule)] == rule
 
 
+def test_other_known_sentences_may_stand_between_those_of_a_rule():
+    recogniser = licenses.Recogniser()
+
+    def found(*names):
+        return [x for x, _, _ in recogniser.licences(list(names))]
+
+    assert found("mit-grant", "reserved", "mit-notice") == ["MIT", "all-rights-reserved"]
+    assert found("mit-grant", "reserved", "reserved", "mit-notice", "as-is") == ["MIT", "all-rights-reserved", "all-rights-reserved"]
+    assert "MIT" not in found("mit-grant", "reserved", "reserved", "reserved", "mit-notice")
+    assert found("mit-grant", "mit-grant", "mit-notice", "mit-notice") == ["MIT", "MIT"]
+    tight = licenses.Recogniser(rules=[("MIT", ["mit-grant", "mit-notice"], 0)])
+    assert tight.licences(["mit-grant", "reserved", "mit-notice"]) == []
+
+
+@pytest.mark.parametrize("line", [
+    "Съешь ещё этих мягких французских булок. ", "! ", "All rights reserved. ", "permission\n", "the\n\n\n", "\u3042\u3002", "a", " ",
+])
+def test_the_scan_takes_time_in_proportion_to_the_text(line):
+    recogniser, text = licenses.Recogniser(), line * (1_000_000 // len(line))
+    began = time.process_time()
+    found = recogniser.sentences(text + "\nReleased under the MIT License")
+    assert time.process_time() - began < 8  # about 1 s a MB where nothing else runs
+    assert found[-1][0] == "mit-name" and (len(found) > 1) == line.startswith("All")
+
+
+def plain_sentences(text):
+    """Every run of pieces of the text against every known sentence, the longest first."""
+    cut = [p for p in re.split(r"(?<=[.!?;:])\s+|\n", text) if licenses.normalise(p)]
+    known, found, i = licenses.Recogniser().known, [], 0
+    while i < len(cut):
+        for j in range(len(cut), i, -1):
+            name = known.get(" ".join(licenses.normalise(p) for p in cut[i:j]))
+            if name:
+                found.append(name)
+                i = j - 1
+                break
+        i += 1
+    return found
+
+
+def test_the_scan_finds_what_a_plain_comparison_finds(spark, sf_dir):
+    notices = list(PUBLIC)
+    mixed = [(i, "Intro. Words! ".join(notices[(i + k) % len(notices)] + "\n" for k in range(1 + i % 4))) for i in range(40)]
+    given = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() if len(r.text) < 4000]
+    for table in (mixed, given):
+        got = {r.doc_id: r.sentences for r in licenses.scan(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+        assert got == {i: plain_sentences(t) for i, t in table}
+        assert any(got.values())
+
+
 def test_a_sentence_may_be_wrapped_over_any_number_of_lines():
     import textwrap
     recogniser, want = licenses.Recogniser(), ["mit-grant", "mit-notice", "as-is"]

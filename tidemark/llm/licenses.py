@@ -66,10 +66,22 @@ SENTENCES = {
         "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
     ],
     "unlicense-free": "this is free and unencumbered software released into the public domain",
+    "lgpl-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "agpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "spdx-mit": "spdx license identifier mit",
+    "spdx-apache": "spdx license identifier apache 2 0",
+    "spdx-bsd-3": "spdx license identifier bsd 3 clause",
+    "spdx-gpl-2": "spdx license identifier gpl 2 0 only",
+    "spdx-gpl-3": "spdx license identifier gpl 3 0 or later",
+    "spdx-mpl": "spdx license identifier mpl 2 0",
     "reserved": "all rights reserved",
 }
 
-# Rules in the order in which they are tried: the licence, and identifiers that follow one another.
+# Other known sentences, such as "all rights reserved", that may stand between two of a rule's. A
+# rule can have a third value of its own.
+GAP = 2
+
+# Rules in the order in which they are tried: the licence, and its identifiers in order.
 RULES = [
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
@@ -91,11 +103,20 @@ RULES = [
     ("CC-BY-4.0", ["cc-by-name"]),
     ("CC0-1.0", ["cc0-name"]),
     ("Unlicense", ["unlicense-free"]),
+    ("LGPL-2.1-or-later", ["lgpl-free"]),
+    ("AGPL-3.0-or-later", ["agpl-free"]),
+    ("MIT", ["spdx-mit"]),
+    ("Apache-2.0", ["spdx-apache"]),
+    ("BSD-3-Clause", ["spdx-bsd-3"]),
+    ("GPL-2.0-only", ["spdx-gpl-2"]),
+    ("GPL-3.0-or-later", ["spdx-gpl-3"]),
+    ("MPL-2.0", ["spdx-mpl"]),
     ("all-rights-reserved", ["reserved"]),
 ]
 
 _NOT_WORD = re.compile(r"[^a-z0-9]+")
 _BREAK = re.compile(r"(?<=[.!?;:])\s+|\n")
+_FIRST = re.compile(r"[^A-Za-z0-9]*([A-Za-z0-9]+)")
 
 
 def normalise(sentence: str) -> str:
@@ -109,8 +130,7 @@ class Recogniser:
         self.known = {normalise(s): name for name, forms in sentences.items() for s in ([forms] if isinstance(forms, str) else forms)}
         self.sorted = sorted(self.known)
         # A piece can only begin a sentence if its first word does.
-        firsts = "|".join(sorted({s.split(" ")[0] for s in self.sorted}))
-        self.first = re.compile(rf"(?:^|(?<=[.!?;:])\s+|\n)[^A-Za-z0-9\n]*(?:{firsts})(?![A-Za-z0-9])", re.IGNORECASE)
+        self.firsts = {s.split(" ")[0] for s in self.sorted}
 
     def _begins(self, text: str) -> bool:
         """Whether some known sentence begins so."""
@@ -124,42 +144,56 @@ class Recogniser:
         are joined for as long as they still begin a known sentence, and the longest counts. Pieces
         without a letter or digit, such as blank lines, are passed over.
         """
+        pieces, begin = [], 0  # begin, end and first word; the text is cut once
+        for stop in [*_BREAK.finditer(text), None]:
+            end = stop.start() if stop else len(text)
+            first = _FIRST.match(text, begin, end)
+            if first:
+                pieces.append((begin, end, first[1].lower()))
+            begin = stop.end() if stop else end
+        normal: dict[int, str] = {}
         found, free = [], 0
-        for start in self.first.finditer(text):
-            at = start.end()
-            begin = max(start.start(), 0)
-            if begin < free:
+        for i, (begin, _, first) in enumerate(pieces):
+            if i < free or first not in self.firsts:
                 continue
             so_far, best = "", None
-            position = begin
-            while position < len(text):
-                stop = _BREAK.search(text, position if so_far else max(position, at))
-                end = stop.start() if stop else len(text)
-                piece = normalise(text[position:end])
-                position = stop.end() if stop else len(text)
-                if not piece:
-                    continue
-                so_far = f"{so_far} {piece}".strip()
+            for j in range(i, len(pieces)):
+                if j not in normal:
+                    normal[j] = normalise(text[pieces[j][0]:pieces[j][1]])
+                so_far = f"{so_far} {normal[j]}".strip()
                 if so_far in self.known:
-                    best = (self.known[so_far], end)
+                    best = (self.known[so_far], j + 1)
                 if not self._begins(so_far):
                     break
             if best:
-                found.append((best[0], begin + len(text[begin:]) - len(text[begin:].lstrip())))
+                while text[begin].isspace():
+                    begin += 1
+                found.append((best[0], begin))
                 free = best[1]
         return found
 
     def licences(self, names: list[str]) -> list[tuple[str, int, int]]:
         """Licence, and first and last place in the sequence, of the rules that match.
 
-        Rules are tried in their order; a sentence that one rule has used no other can use.
+        Rules are tried in their order; a sentence that one rule has used no other can use. Between
+        two sentences of a rule there may be as many others as its gap says.
         """
         found, used = [], [False] * len(names)
-        for licence, rule in self.rules:
-            for i in range(len(names) - len(rule) + 1):
-                if names[i:i + len(rule)] == rule and not any(used[i:i + len(rule)]):
-                    used[i:i + len(rule)] = [True] * len(rule)
-                    found.append((licence, i, i + len(rule) - 1))
+        for licence, rule, *own in self.rules:
+            gap = own[0] if own else GAP
+            for i, name in enumerate(names):
+                if name != rule[0] or used[i]:
+                    continue
+                places = [i]
+                for wanted in rule[1:]:
+                    near = range(places[-1] + 1, min(places[-1] + 2 + gap, len(names)))
+                    places.append(next((k for k in near if names[k] == wanted and not used[k]), -1))
+                    if places[-1] < 0:
+                        break
+                else:
+                    for k in places:
+                        used[k] = True
+                    found.append((licence, i, places[-1]))
         return sorted(found, key=lambda f: f[1])
 
 
@@ -168,7 +202,8 @@ def scan(docs: DataFrame, sentences: dict[str, str | list[str]] = SENTENCES, rul
 
     ``sentences`` are the identifiers of the known sentences of the whole text in order, with
     repeats, ``offsets`` where they begin, ``n_sentences`` how many; ``licences`` are the
-    licences of the rules that match runs of them, each licence once, in order of the text.
+    licences of the rules that match them in order, each licence once, in order of the text.
+    A text is cut and normalised once, so the time is proportional to its length in any script.
     Letter case, marks and blanks within a sentence do not count. Null and empty texts have
     none. Repeated rows are scanned each. An empty table gives no rows. Other columns are not
     read.
