@@ -127,6 +127,33 @@ def manifest_ingest(spark, d):
     ))
 
 
+_PAYMENT_FILES = """
+    SELECT *, CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN 'third.csv' ELSE 'others.csv' END AS file_name FROM {raw_order_payments}"""
+
+
+@query("manifest_ingest_entities", f"""
+    SELECT 'order_payments' AS entity, * FROM ({_PAYMENT_FILES})
+    UNION ALL BY NAME SELECT 'order_reviews' AS entity, 'reviews.csv' AS file_name, * FROM {{raw_order_reviews}}""")
+def manifest_ingest_entities(spark, d):
+    """Two files of one entity and one of another, every column."""
+    landing, bronze, listing = (shared_dir(spark, n) for n in ["landing", "bronze", "manifest"])
+    payments = spark.sql(_PAYMENT_FILES, raw_order_payments=frame(spark, d, "raw_order_payments"))
+    files = {name: payments.where(F.col("file_name") == name).drop("file_name") for name in ["third.csv", "others.csv"]}
+    files["reviews.csv"] = frame(spark, d, "raw_order_reviews")
+    for name, rows in files.items():
+        csv.write_csv_quoted(rows, f"{landing}/in/{name}")
+    text = json.dumps([{"csv_relative_url": f"in/{name}", "file_name": name} for name in files])
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(listing)
+    entities = {"third.csv": "order_payments", "others.csv": "order_payments", "reviews.csv": "order_reviews"}
+    paths = manifest.manifest_ingest_entities(spark, listing, landing, bronze, entities, {"order_reviews"})
+    found = []
+    for entity, columns in [("order_payments", PAYMENT_TEXT), ("order_reviews", REVIEW_TEXT)]:
+        for path in paths[entity]:
+            rows = csv.scan_csv_quoted(spark, path, columns, multi_line=entity == "order_reviews")
+            found.append(rows.withColumns({"entity": F.lit(entity), "file_name": F.lit(path.rsplit("=")[-1])}))
+    return found[0].unionByName(found[1], allowMissingColumns=True).unionByName(found[2], allowMissingColumns=True)
+
+
 def _monthly_on_disk(spark, d) -> str:
     path = shared_dir(spark, "fact_sales_agg")
     layout.write_partitioned(monthly_sales(spark, d), path, "year_month")

@@ -82,3 +82,52 @@ def test_only_buckets_of_changed_keys_are_rewritten(spark):
     scd2.scd2_merge_into(path, second.limit(0), *by, buckets=8)
     with pytest.raises(ValueError, match="8 buckets, not 16"):
         scd2.scd2_merge_into(path, second, *by, buckets=16)
+
+
+def listed(spark, *entries):
+    path = shared_dir(spark, "manifest")
+    text = json.dumps([{"csv_relative_url": url, "file_name": name} for url, name in entries])
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+@pytest.mark.parametrize("quarantine", [False, True])
+def test_files_of_an_entity_are_copied_by_a_fixed_number_of_jobs(spark, quarantine):
+    jobs = {}
+    for n in (1, 12):
+        landing = landed(spark, "landing", *[f"id,text\na{i},x\n\"b {i}\",\"y, z\"\n" for i in range(n)])
+        listing = listed(spark, *[(f"part{i}.csv", f"file {i}.csv") for i in range(n)])
+        bronze, rejected = shared_dir(spark, "bronze"), shared_dir(spark, "rejected")
+        spark.sparkContext.setJobGroup(f"ingest{n}{quarantine}", "")
+        paths = manifest.manifest_ingest_entities(
+            spark, listing, landing, bronze, {f"file {i}.csv": "things" for i in range(n)}, rejected=rejected if quarantine else None)
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"ingest{n}{quarantine}"))
+        spark.sparkContext.setJobGroup("", "")
+        assert len(paths["things"]) == n
+        for i, path in enumerate(paths["things"]):
+            assert sorted(map(tuple, csv.scan_csv_quoted(spark, path, ["text", "id"]).collect())) == [("x", f"a{i}"), ("y, z", f"b {i}")]
+    assert jobs[12] <= jobs[1] + 1, jobs
+
+
+def test_a_file_with_other_columns_is_not_taken_for_one_of_its_entity(spark):
+    landing = landed(spark, "landing", "id,text\na,x\n", "text,id\ny,b\n")
+    listing, entities = listed(spark, ("part0.csv", "one.csv"), ("part1.csv", "two.csv")), {"one.csv": "things", "two.csv": "things"}
+    with pytest.raises(Exception, match="header"):
+        manifest.manifest_ingest_entities(spark, listing, landing, shared_dir(spark, "bronze"), entities)
+    for wrong in ({"one.csv": "things"}, {}):
+        with pytest.raises(ValueError, match="without an entity"):
+            manifest.manifest_ingest_entities(spark, listing, landing, shared_dir(spark, "bronze"), wrong)
+    with pytest.raises(ValueError, match="twice: one.csv"):
+        manifest.manifest_ingest_entities(spark, listed(spark, ("part0.csv", "one.csv"), ("part1.csv", "one.csv")), landing, "b", entities)
+
+
+def test_malformed_lines_are_kept_by_file_and_folder(spark):
+    landing = landed(spark, "landing/sub", "id,text\na,x\nb,y,z\n", "id,text\nc\n")
+    one = landed(spark, "landing2", "id,text\nd,w\n")
+    root = os.path.commonpath([landing, one])
+    listing = listed(spark, (os.path.relpath(landing, root), "folder.csv"), (os.path.relpath(f"{one}/part0.csv", root), "one.csv"))
+    bronze, rejected = shared_dir(spark, "bronze"), shared_dir(spark, "rejected")
+    paths = manifest.manifest_ingest_entities(spark, listing, root, bronze, {"folder.csv": "t", "one.csv": "t"}, rejected=rejected)
+    assert [spark.read.csv(p, header=True).count() for p in paths["t"]] == [1, 1]
+    bad = spark.read.parquet(f"{rejected}/t")
+    assert sorted(map(tuple, bad.select("file_name", "line").collect())) == [("folder.csv", "b,y,z"), ("folder.csv", "c")]

@@ -8,7 +8,7 @@ from tidemark.plans import gold, silver
 from tidemark.schemas import ENTITIES
 from tidemark.session import tune
 from tidemark.sources.csv import scan_csv_quoted
-from tidemark.sources.manifest import manifest_ingest
+from tidemark.sources.manifest import manifest_ingest_entities
 from tidemark.sources.tables import table_bytes
 
 # Review texts hold line breaks; all other files can be split.
@@ -27,20 +27,13 @@ def run(
     the names of the views.
     """
     tune(spark)
-    with_breaks = {name for name, entity in entities.items() if entity in MULTI_LINE}
-    bronze = manifest_ingest(
-        spark, manifest, landing, f"{root}/bronze", with_breaks, f"{root}/rejected/lines" if quarantine else None)
-    unknown = sorted(set(bronze) - set(entities))
-    if unknown:
-        raise ValueError(f"listed files without an entity: {', '.join(unknown)}")
-    paths: dict[str, list[str]] = {}
-    for name, path in bronze.items():
-        paths.setdefault(entities[name], []).append(path)
+    paths = manifest_ingest_entities(
+        spark, manifest, landing, f"{root}/bronze", entities, MULTI_LINE, f"{root}/rejected/lines" if quarantine else None)
     raw = {
         entity: scan_csv_quoted(spark, files, [f.source for f in ENTITIES[entity]], entity in MULTI_LINE)
         for entity, files in paths.items()
     }
-    tune(spark, table_bytes(spark, list(bronze.values())))
+    tune(spark, table_bytes(spark, [path for files in paths.values() for path in files]))
     cleaned = silver.write(raw, f"{root}/silver", f"{root}/rejected" if quarantine else None)
     tables = gold.write_gold(cleaned, f"{root}/gold")
     return gold.publish_views(spark, f"{root}/gold", gold.STAR_TABLES, schemas={n: df.schema for n, df in tables.items()})

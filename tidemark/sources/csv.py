@@ -33,7 +33,8 @@ FIELD_COUNT, OPEN_QUOTE = "field count", "open quote"
 
 
 def scan_csv_checked(
-    spark: SparkSession, path: str | list[str], columns: list[str] | None = None, multi_line: bool = False
+    spark: SparkSession, path: str | list[str], columns: list[str] | None = None, multi_line: bool = False,
+    file: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Read files with a header row, and tell lines that are no row of theirs from the others.
 
@@ -42,31 +43,35 @@ def scan_csv_checked(
     not close. A plain read would cut or fill up such a line. Every line is in one of the two,
     but for blank ones and those that repeat the header. All files have the header of the first.
 
+    ``file`` names a column for the file that a row or line comes from.
+
     A quote that does not close ends with its line. With ``multi_line`` it ends with its file:
     what follows it cannot be told apart, and is one malformed record.
     """
     names = spark.read.options(**CSV_FORMAT, header=True, multiLine=multi_line).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, FAULT]])
     options = {**CSV_FORMAT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": FAULT, "columnPruning": False}
+    origin = F.col("_metadata.file_path").alias(file or "_file")
     if multi_line:
         parsed = spark.read.options(**options, header=True, multiLine=True).schema(schema).csv(path)
-        parsed = parsed.select("*", F.col(FAULT).alias(LINE), F.lit(False).alias("_open"))
+        parsed = parsed.select("*", F.col(FAULT).alias(LINE), F.lit(False).alias("_open"), origin)
     else:
         texts = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items() if k != "columnPruning"}
         ddl = ", ".join(f"`{c}` STRING" for c in schema.names)
         lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
         # What is left of a line without escaped characters and anything but quotes.
         quotes = F.length(F.regexp_replace("value", r'\\.|[^"]', ""))
-        parsed = lines.select("value", F.from_csv("value", ddl, texts).alias("_row"), (quotes % 2 == 1).alias("_open"))
-        parsed = parsed.select(*[F.col(f"_row.`{c}`") for c in schema.names], F.col("value").alias(LINE), "_open")
+        parsed = lines.select("value", F.from_csv("value", ddl, texts).alias("_row"), (quotes % 2 == 1).alias("_open"), origin)
+        parsed = parsed.select(*[F.col(f"_row.`{c}`") for c in schema.names], F.col("value").alias(LINE), "_open", file or "_file")
         header = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.lit(c)) for c in names])
         parsed = parsed.where(~header)
     bad = F.col(FAULT).isNotNull() | F.col("_open")
     reason = F.when(F.col("_open"), OPEN_QUOTE).otherwise(FIELD_COUNT)
-    good = parsed.where(~bad).select(*[f"`{c}`" for c in columns or names])
+    origins = [file] if file else []
+    good = parsed.where(~bad).select(*[f"`{c}`" for c in columns or names], *origins)
     # Spark reads no file for the corrupt record alone: ask for the fields too.
     fields = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in names])) >= 0
-    return good, parsed.where(bad & fields).select(LINE, reason.alias(REASON))
+    return good, parsed.where(bad & fields).select(LINE, reason.alias(REASON), *origins)
 
 
 def scan_csv_positional(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
