@@ -68,6 +68,18 @@ def reject_bad_rows(spark, d):
     return good.unionByName(rejected.withColumn("outcome", F.lit("rejected")).select(*columns))
 
 
+@query("reject_bad_rows_whole", f"""
+    SELECT *, {DIRTY_FLAG} AS bad_columns FROM {{f_dirty}} WHERE {DIRTY_FLAG} <> ''
+    UNION ALL SELECT order_id, CAST(payment_sequential AS VARCHAR), payment_type, CAST(payment_installments AS VARCHAR),
+      CAST(CAST(payment_value AS DECIMAL(18,2)) AS VARCHAR), '' FROM ({DIRTY_CAST.replace('{f_dirty}', f"(SELECT * FROM {{f_dirty}} WHERE {DIRTY_FLAG} = '')")})""")
+def reject_bad_rows_whole(spark, d):
+    """Every column of the rows on either side, accepted values as they were read."""
+    accepted, rejected = clean.reject_bad_rows(frame(spark, d, "f_dirty"), DIRTY_TYPES)
+    texts = {c: F.col(c).cast("string") for c in ("payment_sequential", "payment_installments")}
+    texts["payment_value"] = F.col("payment_value").cast("decimal(18,2)").cast("string")
+    return accepted.withColumns(texts).withColumn("bad_columns", F.lit("")).unionByName(rejected)
+
+
 @query("fill_nulls", f"""
     SELECT coalesce(order_id, 'Unknown') AS order_id, coalesce(payment_sequential, 0) AS payment_sequential,
       coalesce(payment_type, 'Unknown') AS payment_type, coalesce(payment_installments, 0) AS payment_installments,

@@ -210,6 +210,28 @@ def cluster_layout(spark, d):
     return layout.cluster_layout(spark, source, target, "customer_sk")
 
 
+@query("cluster_layout_columns", "SELECT * FROM {sales}")
+def cluster_layout_columns(spark, d):
+    source, target = shared_dir(spark, "fact_sales"), shared_dir(spark, "clustered")
+    sales_rows(spark, d).write.parquet(source)
+    return layout.cluster_layout_columns(spark, source, target, ["customer_sk", "purchase_date", "payment_type"])
+
+
+@query("merge_schema_versions", """
+    SELECT CAST(payment_installments AS BIGINT) AS payment_installments, payment_value, payment_type,
+      CASE WHEN order_id % 3 > 0 THEN payment_sequential END AS payment_sequential, CASE WHEN order_id % 3 = 2 THEN order_id END AS order_id
+    FROM {f_payments}""")
+def merge_schema_versions(spark, d):
+    """Three versions of a table: int and float columns, then a column more, then wider ones and another."""
+    payments, key = frame(spark, d, "f_payments"), F.col("order_id") % 3
+    root = shared_dir(spark, "versions")
+    columns = ["payment_installments", "payment_value", "payment_type", "payment_sequential", "order_id"]
+    payments.where(key == 0).select(*columns[:3]).write.parquet(f"{root}/1")
+    payments.where(key == 1).select(*columns[:4]).write.parquet(f"{root}/2")
+    payments.where(key == 2).select(F.col(columns[0]).cast("long").alias(columns[0]), *columns[1:]).write.parquet(f"{root}/3")
+    return tables.merge_versions(spark, [f"{root}/{i}" for i in (1, 2, 3)])
+
+
 @query("compact_files", "SELECT * FROM {monthly}")
 def compact_files(spark, d):
     scattered, compact = shared_dir(spark, "scattered"), shared_dir(spark, "compact")

@@ -57,3 +57,40 @@ def merge_schema(*versions: DataFrame) -> DataFrame:
     for version in rest:
         merged = merged.unionByName(version, allowMissingColumns=True)
     return merged
+
+
+# Number types that hold every value of those before them in their row.
+WIDER = [
+    [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()],
+    [T.ByteType(), T.ShortType(), T.IntegerType(), T.DoubleType()],
+    [T.FloatType(), T.DoubleType()],
+    [T.DateType(), T.TimestampNTZType()],
+]
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The narrower of the types that hold all values of both; None if there is none."""
+    if a == b:
+        return a
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale, whole = max(a.scale, b.scale), max(a.precision - a.scale, b.precision - b.scale)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+    return next((row[max(row.index(a), row.index(b))] for row in WIDER if a in row and b in row), None)
+
+
+def merge_versions(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The versions of a table that lie at ``paths`` as one, in one scan.
+
+    A column that a version lacks is null there. Where a column became wider, as from int to
+    long or from float to double, it has the widest type, which the reader converts to; a column whose
+    types have none that holds both is refused, not cut. Columns keep the order in which they came.
+    One file's schema is read for each version.
+    """
+    merged: dict[str, T.DataType] = {}
+    for path in paths:
+        for field in spark.read.parquet(path).schema:
+            known = merged.get(field.name, field.dataType)
+            merged[field.name] = wider(known, field.dataType)
+            if merged[field.name] is None:
+                raise ValueError(f"{field.name} is {field.dataType.simpleString()} in {path}, {known.simpleString()} before")
+    return spark.read.schema(T.StructType([T.StructField(name, kind) for name, kind in merged.items()])).parquet(*paths)
