@@ -12,7 +12,7 @@ from acceptance.registry import query
 from tidemark.operators import keys
 from tidemark.plans import increment
 from tidemark.session import shared_dir, stage
-from tidemark.streaming import incremental
+from tidemark.streaming import events, incremental
 
 HALFWAY = "1995-06-17"  # orders before this day come with the first load
 
@@ -133,3 +133,20 @@ def incremental_load_keys(spark, d):
         loaded = incremental.incremental_load(
             delivered, target, marks, "ts", ["event_id"], lateness=datetime.timedelta(hours=1), keys=known)
     return loaded
+
+
+@query("stream_keep_late", """
+    WITH b AS (SELECT *, CASE WHEN event_id % 10 = 0 THEN 3 WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END AS batch FROM events)
+    SELECT CAST(ts AS DATE) AS day, event_type, CAST(count(*) FILTER (NOT late) AS BIGINT) AS events, CAST(count(*) FILTER (late) AS BIGINT) AS late
+    FROM (SELECT *, batch = 3 AND ts < (SELECT max(ts) FROM b WHERE batch < 3) - INTERVAL 1 DAY AS late FROM b) GROUP BY ALL""".replace(
+        "WITH b AS", "SELECT * FROM (WITH b AS") + ")")
+def stream_keep_late(spark, d):
+    """Three files in three batches; a tenth of all events comes last, most of it late. The first is sent twice."""
+    feed = frame(spark, d, "events")
+    root, landing, checkpoint = (shared_dir(spark, n) for n in ["kept", "landing", "checkpoint"])
+    last, early = F.col("event_id") % 10 == 0, F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in [feed.where(~last & early), feed.where(~last & ~early), feed.where(last)]:
+        part.coalesce(1).write.mode("append").parquet(landing)
+        stream = events.event_stream(spark, landing, feed.schema, files_per_batch=1)
+        events.stream_keep_late(stream, root, checkpoint).awaitTermination()
+    return events.kept_and_late(spark, root, stream.schema)

@@ -15,6 +15,7 @@ from tests.conftest import rows
 from tidemark.operators import keys
 from tidemark.plans import facts, increment
 from tidemark.session import shared_dir
+from tidemark.streaming import events
 from tidemark.streaming.incremental import incremental_load
 
 
@@ -128,3 +129,19 @@ def test_a_new_translation_reaches_older_products(spark, sf_dir):
     numbers = [{r.natural_product_key: r.product_sk for r in t["dim_product"].collect()} for t in (first, second)]
     assert numbers[0] == numbers[1]
     assert second["fact_sales"].count() == 0
+
+
+def test_late_rows_are_kept_aside_and_a_batch_written_again_changes_nothing(spark):
+    root = shared_dir(spark, "kept")
+
+    def batch(*found):
+        rows_ = [(i, None if d is None else datetime.datetime(2024, 1, d), t) for i, d, t in found]
+        return spark.createDataFrame(rows_, "event_id long, ts timestamp, event_type string")
+
+    batches = [batch((1, 5, "a"), (1, 5, "a"), (2, 6, "a"), (None, 5, "n"), (3, None, "z")), batch((4, 20, "a"), (2, 6, "a"), (5, 1, "b")),
+               batch((6, 18, "late"), (7, 19, "edge"), (4, 20, "a")), batch()]
+    for number in (0, 1, 1, 2, 3, 2):  # two of them again, the last out of turn
+        events.keep_batch(batches[number], number, root, "1 day")
+    got = {(r.day and r.day.day, r.event_type): (r.events, r.late) for r in events.kept_and_late(spark, root, batches[0].schema).collect()}
+    assert got == {(5, "a"): (1, 0), (5, "n"): (1, 0), (6, "a"): (1, 0), (None, "z"): (1, 0), (20, "a"): (1, 0), (1, "b"): (0, 1),
+                   (18, "late"): (0, 1), (19, "edge"): (1, 0)}
