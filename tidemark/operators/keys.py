@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import stage
-from tidemark.sources.tables import table_or_empty
+from tidemark.sources.tables import one_row, table_or_empty
 
 BUCKET_DIGITS = 4            # 16^4 = 65,536 buckets of rows at least
 COPIES_PER_TASK = 1_000_000  # copies of one row that one task writes out
@@ -111,7 +111,7 @@ def key_map(keys: DataFrame, name: str, path: str) -> DataFrame:
     schema = T.StructType([*keys.schema.fields, T.StructField(name, T.LongType())])
     known = table_or_empty(spark, path, schema)
     fresh = keys.distinct().alias("k").join(known.alias("m"), same_key("k", "m", key), "left_anti")
-    after = known.agg(F.coalesce(F.max(name) + 1, F.lit(0).cast("long"))).first()[0]
+    after = one_row(known.agg(F.coalesce(F.max(name) + 1, F.lit(0).cast("long"))))[0]
     numbered = surrogate_key(fresh, name, key=key)
     numbered.select(*[f"`{k}`" for k in key], (F.col(name) + after).alias(name)).write.mode("append").parquet(path)
     return spark.read.schema(schema).parquet(path)

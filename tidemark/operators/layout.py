@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import SHUFFLE_BYTES_PER_TASK
-from tidemark.sources.tables import scan_folders, scan_table, table_bytes
+from tidemark.sources.tables import one_row, scan_folders, scan_table, table_bytes
 
 # Bounds the size of a file where rows are narrow and compress well.
 MAX_RECORDS_PER_FILE = 20_000_000
@@ -115,7 +115,7 @@ def curve(df: DataFrame, by: list[str], bits: int = RANK_BITS) -> Column:
     """
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
     known = {name: F.when(~F.isnan(_place(df, name)), _place(df, name)) for name in by}
-    quantiles = df.agg(*[F.percentile_approx(known[name], shares, 10_000).alias(f"_{i}") for i, name in enumerate(by)]).first()
+    quantiles = one_row(df.agg(*[F.percentile_approx(known[name], shares, 10_000).alias(f"_{i}") for i, name in enumerate(by)]))
     spread = F.lit(0).cast("long")
     for i, name in enumerate(by):
         bounds = F.array(*[F.lit(float(q)) for q in sorted(set(quantiles[i] or []))]).cast("array<double>")

@@ -20,7 +20,7 @@ from tidemark.operators.keys import UNKNOWN_KEY, key_map
 from tidemark.operators.layout import replace_folders
 from tidemark.plans import dims, facts
 from tidemark.session import stage
-from tidemark.sources.tables import scan_table, table_or_empty
+from tidemark.sources.tables import few_values, scan_table, table_or_empty
 
 LOAD = "load_id"
 MONTH = "sales_month"
@@ -111,7 +111,7 @@ def load_star(spark: SparkSession, feeds: dict[str, DataFrame], root: str, load:
         touched = touched.union(feeds[name].select("order_id"))
     touched = stage(touched.where("order_id IS NOT NULL").distinct(), "touched_orders")
     versions = landed["orders"].join(touched, "order_id", "left_semi")
-    months = [row[0] for row in versions.select(_month("order_purchase_date")).distinct().toLocalIterator()]
+    months = few_values(versions.select(_month("order_purchase_date").alias(MONTH)))
     orders = stage(_newest(versions, "order_id"), "touched_orders")
     parts = {name: landed[name].drop(LOAD).join(touched, "order_id", "left_semi") for name in PARTS}
     parts["order_items"] = stage(parts["order_items"], "touched_items")
@@ -139,8 +139,7 @@ def load_star(spark: SparkSession, feeds: dict[str, DataFrame], root: str, load:
     stored = table_or_empty(spark, fact, rows.schema)
     others = stored.where(F.col(MONTH).isin(months)).join(touched, "order_id", "left_anti").select(*rows.columns)
     rewritten = stage(others.unionByName(rows), "touched_months")
-    filled = {row[0] for row in rewritten.select(MONTH).distinct().toLocalIterator()}
-    emptied = sorted(set(months) - filled)
+    emptied = sorted(set(months) - set(few_values(rewritten.select(MONTH))))
     tables["fact_sales"] = replace_folders(rewritten, fact, MONTH, emptied)
     monthly = facts.agg_sales_monthly(rewritten).withColumn(MONTH, F.coalesce("year_month", F.lit(NO_MONTH)))
     tables["fact_sales_agg"] = replace_folders(monthly, mart, MONTH, emptied)

@@ -84,7 +84,7 @@ def manifest_ingest_entities(
     ``rejected`` its malformed lines there in the same way, with the reason. Returns the paths of
     each entity.
     """
-    entries = read_manifest(spark, manifest_path).where(F.col(NAME).isNotNull()).collect()  # a row per file
+    entries = list(read_manifest(spark, manifest_path).where(F.col(NAME).isNotNull()).toLocalIterator())  # a row per file
     names = [e.file_name for e in entries]
     twice = sorted({n for n in names if names.count(n) > 1}) if len(set(names)) < len(names) else []
     unknown = sorted(set(names) - set(entities))

@@ -30,6 +30,26 @@ def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
         return spark.createDataFrame([], schema)
 
 
+MOST_VALUES = 100_000
+
+
+def one_row(df: DataFrame):
+    """The row of an aggregate over all rows."""
+    return df.first()
+
+
+def few_values(df: DataFrame, most: int = MOST_VALUES) -> list:
+    """The different values of a frame of one column, sorted, without null: months, days or buckets.
+
+    They come to the driver, so more than ``most`` are refused.
+    """
+    values = df.distinct().limit(most + 1)
+    found = values.agg(F.sort_array(F.collect_set(df.columns[0]))).first()[0]
+    if len(found) > most:
+        raise ValueError(f"more than {most} different values of {df.columns[0]}")
+    return found
+
+
 def scan_folders(spark: SparkSession, path: str, by: str) -> DataFrame:
     """A table with the folder names of ``by`` kept as text, so that ``01`` and ``1`` stay apart."""
     schema = spark.read.parquet(path).schema

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.session import stage
-from tidemark.sources.tables import table_or_empty
+from tidemark.sources.tables import few_values, one_row, table_or_empty
 
 LATENESS = "1 day"
 WINDOW = "1 day"
@@ -75,13 +75,13 @@ def keep_batch(batch: DataFrame, number: int, root: str, lateness: str = LATENES
     schema, day = batch.schema, T.StructField(DAY, T.DateType())
     rows = stage(batch, "batch")
     marks = table_or_empty(spark, f"{root}/marks", _MARK).where(F.col(BATCH) < number)
-    newest = marks.agg(F.max("mark")).first()[0]
+    newest = one_row(marks.agg(F.max("mark")))[0]
     limit = F.lit(newest) - F.expr(f"INTERVAL {lateness}") if newest else None
     is_late = F.coalesce(F.col("ts") < limit, F.lit(False)) if newest else F.lit(False)
     rows.where(is_late).write.mode("overwrite").parquet(f"{root}/late/{BATCH}={number}")
 
     in_time = rows.where(~is_late).withColumn(DAY, F.to_date("ts"))
-    days = [r[0] for r in in_time.select(DAY).distinct().toLocalIterator()]  # the days of a batch
+    days = few_values(in_time.select(DAY))
     known = table_or_empty(spark, f"{root}/events", _stored(schema, day)).where(F.col(BATCH) < number)
     known = known.where(F.col(DAY).isin(days) | F.col(DAY).isNull()).select("event_id").distinct()
     first = in_time.groupBy("event_id").agg(F.min(F.struct("ts", *[c for c in in_time.columns if c != "ts"])).alias("_row"))

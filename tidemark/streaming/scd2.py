@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.layout import replace_folders
 from tidemark.session import stage
-from tidemark.sources.tables import table_or_empty
+from tidemark.sources.tables import few_values, table_or_empty
 
 BUCKET = "_bucket"
 BUCKETS = 256
@@ -89,11 +89,11 @@ def scd2_merge_into(
         T.StructField("is_current", T.BooleanType()), T.StructField(BUCKET, T.StringType()),
     ])
     stored = table_or_empty(spark, path, schema)
-    begun = stored.select(BUCKET).distinct().where(~F.col(BUCKET).startswith(f"{buckets}-")).first()
+    begun = few_values(stored.select(BUCKET).where(~F.col(BUCKET).startswith(f"{buckets}-")))
     if begun:
         raise ValueError(f"{path} has {begun[0].split('-')[0]} buckets, not {buckets}")
     named = stage(changes.select(*key, day, *attributes, *(sequence or [])), "changes")
-    touched = [row[0] for row in named.select(_bucket(key, buckets)).distinct().collect()]  # at most ``buckets``
+    touched = few_values(named.select(_bucket(key, buckets).alias(BUCKET)))
     history = stored.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
     merged = scd2_update(history, named, key, day, attributes, sequence).withColumn(BUCKET, _bucket(key, buckets))
     return replace_folders(stage(merged, "history"), path, BUCKET, []).drop(BUCKET)
