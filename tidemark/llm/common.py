@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,11 +21,10 @@ ROWS_PER_SLICE = 2000
 MAX_SLICE_BITS = 20
 
 _U = np.uint64
-_MASK = (1 << 64) - 1
-_BYTE = np.random.default_rng(0x5EED).integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
 _ODD = 0x9E3779B97F4A7C15
-_SEGMENT = 1 << 18
-_POWERS: dict[str, np.ndarray] = {}
+_SEED = 0x5EED
+LANES = 4  # of eight bytes; longer words take a slower hash
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -45,7 +46,8 @@ def marked(docs: DataFrame) -> DataFrame:
 def rows_of(docs: DataFrame, chosen: DataFrame, once: bool = False, times: str | None = None) -> DataFrame:
     """The rows of ``docs`` that ``chosen`` names by doc_id and mark, all columns as they are.
 
-    Of copies one, if ``once``; or as many as the column ``times`` of ``chosen`` says.
+    Of copies one, if ``once``; or as many as the column ``times`` of ``chosen`` says, dealt evenly over
+    the copies. Copies that differ in other columns lie in the order of a hash of all their columns.
     """
     doc_id, lowest = F.col("doc_id").cast("long"), F.lit(-(1 << 63))
     keys = {"_row_id": F.coalesce(doc_id, lowest), "_row_mark": F.xxhash64(doc_id.isNull(), F.col("text"))}
@@ -53,10 +55,15 @@ def rows_of(docs: DataFrame, chosen: DataFrame, once: bool = False, times: str |
     names = chosen.select(F.coalesce("doc_id", lowest).alias("_row_id"), F.col("mark").alias("_row_mark"), *extra)
     found = docs.withColumns(keys).join(names, list(keys), "inner" if times else "left_semi")
     if once or times:
-        first = Window.partitionBy(*keys).orderBy(F.lit(0))
-        found = found.withColumn("_row_copy", F.row_number().over(first)).where("_row_copy = 1")
+        copies = Window.partitionBy(*keys)
+        hashed = [F.col(f"`{f.name}`") for f in docs.schema if not re.search("map|variant", f.dataType.simpleString())]
+        found = found.withColumn("_row_copy", F.row_number().over(copies.orderBy(F.xxhash64(*hashed))))
+        if once:
+            found = found.where("_row_copy = 1")
     if times:
-        found = found.withColumn("_row_copy", F.explode(F.sequence(F.lit(1), "_row_times")))
+        found = found.withColumn("_row_copies", F.count(F.lit(1)).over(copies)).withColumn(
+            "_row_times", F.expr("CAST(_row_times div _row_copies + int(_row_copy <= _row_times % _row_copies) AS int)")
+        ).where("_row_times > 0").withColumn("_row_copy", F.explode(F.sequence(F.lit(1), "_row_times")))
     return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -118,40 +125,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2^64."""
-    if "up" not in _POWERS or len(_POWERS["up"]) < n:
-        size = max(n, _SEGMENT + 4096)
-        for name, base in (("up", _ODD), ("down", pow(_ODD, -1, 1 << 64))):
-            steps = np.full(size, base & _MASK, np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
-    return _POWERS["up"], _POWERS["down"]
-
-
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 def run_hashes(bytes_: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the runs of bytes from ``starts`` to ``ends``, which ascend.
+    """64-bit hashes of the runs of bytes from ``starts`` to ``ends``.
 
-    A hash is a polynomial in the bytes, taken as the difference of two running sums, so that
-    no run is a Python object.
+    A run of up to LANES lanes of eight bytes begins with its length, and each lane is mixed in by a
+    bijection that spreads every bit, so that no run is a Python object; of one length and up to eight
+    bytes no two share a hash. Longer runs, of which there are few to the megabyte, take BLAKE2b.
     """
-    hashes = np.empty(len(starts), np.uint64)
-    first = 0
-    while first < len(starts):
-        base = starts[first]
-        last = max(first + 1, int(np.searchsorted(ends, base + _SEGMENT, "right")))
-        part = bytes_[base:ends[last - 1]]
-        up, down = _powers(len(part) + 1)
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_BYTE[part] * up[:len(part)], out=sums[1:])
-        s, e = starts[first:last] - base, ends[first:last] - base
-        hashes[first:last] = (sums[e] - sums[s]) * down[s]
-        first = last
-    return mix(hashes)
+    sizes = ends - starts
+    hashes = mix(sizes.astype(np.uint64) * _U(_ODD) + _U(_SEED))
+    padded = np.concatenate([bytes_, np.zeros(8, np.uint8)])
+    lanes = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))  # the eight bytes from any place on
+    short = sizes <= 8 * LANES
+    for k in range(LANES):
+        at = np.flatnonzero(short & (sizes > 8 * k))
+        if not len(at):
+            break
+        lane = lanes[starts[at] + 8 * k] & _FIRST_BYTES[np.minimum(sizes[at] - 8 * k, 8)]
+        hashes[at] = mix(hashes[at] ^ lane)
+    for i in np.flatnonzero(~short).tolist():
+        digest = hashlib.blake2b(bytes_[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return hashes
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

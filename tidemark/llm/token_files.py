@@ -55,8 +55,8 @@ class Encoder:
     a space with no blank behind it, between a letter or digit and a mark, and on either side of
     a line feed that stands alone. So it has the ids of its pieces, one after another.
 
-    Pieces are known by a 64-bit hash, in sorted arrays: with two million pieces any two have
-    one hash with a chance of one in nine million.
+    Pieces are looked up by a 64-bit hash, in sorted arrays, and compared byte by byte with the piece
+    that was learnt under it. Texts with a piece that differs are encoded whole by the library.
 
     With ``added``, the vocabulary's added tokens, such as <|endoftext|>, are found in a text as
     the library finds them by itself, and what is between them is encoded as texts of its own.
@@ -83,6 +83,8 @@ class Encoder:
         self.known = np.empty(0, np.uint64)                               # hashes, sorted
         self.at, self.count = np.empty(0, np.int64), np.empty(0, np.int64)  # where their ids lie in the pool
         self.pool = np.empty(0, self.dtype)
+        self.from_, self.size = np.empty(0, np.int64), np.empty(0, np.int64)  # where their bytes lie in theirs
+        self.bytes = np.empty(0, np.uint8)
 
     def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
@@ -117,6 +119,17 @@ class Encoder:
         self.known = np.insert(self.known, place, hashes)
         self.at, self.count = np.insert(self.at, place, at + len(self.pool)), np.insert(self.count, place, count)
         self.pool = np.concatenate([self.pool, *ids, *single])
+        size = np.array([len(p) for p in pieces], np.int64)
+        self.from_ = np.insert(self.from_, place, np.cumsum(size) - size + len(self.bytes))
+        self.size = np.insert(self.size, place, size)
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(pieces), np.uint8)])
+
+    def _are(self, place: np.ndarray, sizes: np.ndarray, data: np.ndarray) -> bool:
+        """Whether the known pieces at ``place`` are those of ``data``, which lie one after another."""
+        if not np.array_equal(self.size[place], sizes):
+            return False
+        begin = self.from_[place] - (np.cumsum(sizes) - sizes)
+        return np.array_equal(self.bytes[np.repeat(begin, sizes) + np.arange(len(data))], data)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text and the end, as bytes."""
@@ -155,6 +168,8 @@ class Encoder:
         if new.any():
             self._learn(hashes[new], [joined[a:b] for a, b in zip(first[where[new]].tolist(), last[where[new]].tolist(), strict=True)])
         place = np.searchsorted(self.known, hashes)[which]
+        if not self._are(place, last - first, here[of_text]):
+            return [ids.tobytes() for ids in self._encode(texts)]
         count = self.count[place]
         done = np.concatenate([[0], np.cumsum(count)])
         ids = self.pool[np.repeat(self.at[place] - done[:-1], count) + np.arange(done[-1])].tobytes()
