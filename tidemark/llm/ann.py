@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ready
@@ -13,7 +13,8 @@ from tidemark.session import stage
 TABLES = 12
 AXES = 32       # of the rotated vector; a table has 2 * AXES buckets
 PROBES = 6      # buckets of each table that a query looks into
-BLOCK = 2048    # vectors of a bucket that one task compares
+BLOCK = 2048    # vectors of a bucket that are compared at once with up to QUERY_BLOCK queries
+QUERY_BLOCK = 4096
 _SEED = 0x5EED
 
 
@@ -106,6 +107,60 @@ def valid(vectors: DataFrame) -> DataFrame:
     )
 
 
+def _compared(asked: DataFrame, index: DataFrame, smallest: DataFrame, k: int) -> DataFrame:
+    """query, node, score: of each block of a cell the k + 1 nearest of each query, ties to the smallest id."""
+    cell = ["axes", "tbl", "bucket"]
+
+    def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+        return rows.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+
+    def every(name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+
+    def one(name: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.col(name)).cast("int")
+
+    cells = blocks(index, BLOCK, "lefts").join(blocks(asked.select(*cell), QUERY_BLOCK, "rights"), cell)
+    sent = asked.join(cells, cell).withColumn("left", every("lefts")).withColumn("right", one("rights"))
+    kept = index.join(cells, cell).withColumn("left", one("lefts")).withColumn("right", every("rights")).join(smallest, "node")
+    cell = [*cell, "left", "right"]
+
+    def compare(key, left, right):
+        out = pa.schema([("query", pa.int64()), ("node", pa.int64()), ("score", pa.float64())])
+        if not len(left) or not len(right):
+            return out.empty_table()
+        queries, candidates = (_matrix(t.column("vector")) for t in (left, right))
+        query, node = (t.column("node").to_numpy() for t in (left, right))
+        id_, wanted, found = right.column("smallest").to_numpy(), min(k + 1, len(node)), []
+        # The sums of a product in any two orders are no further apart than this.
+        most = np.sqrt((candidates / (scale := np.abs(candidates).max())) ** 2 @ np.ones(candidates.shape[1])).max() * scale
+        slack = 4 * queries.shape[1] * np.finfo(float).eps * most
+        for i in range(0, len(query), 256):
+            some = queries[i:i + 256]
+            products = some @ candidates.T
+            last = -np.partition(-products, wanted - 1, axis=1)[:, wanted - 1]
+            high = np.abs(some).max(axis=1)
+            near = products >= (last - slack * high * np.sqrt(((some / high[:, None]) ** 2).sum(axis=1)))[:, None]
+            q, c = np.nonzero(near)
+            exact = np.concatenate([(some[q[j:j + 8192]] * candidates[c[j:j + 8192]]).sum(axis=1) for j in range(0, len(q), 8192)])
+            order = np.lexsort((id_[c], -exact, q))
+            q, c, exact = q[order], c[order], exact[order]
+            keep = np.arange(len(q)) - np.searchsorted(q, q) < wanted
+            found.append((query[i + q[keep]], node[c[keep]], exact[keep]))
+        return pa.table([np.concatenate(c) for c in zip(*found, strict=True)], schema=out)
+
+    return sent.select(*cell, "node", "vector").groupBy(*cell).cogroup(
+        kept.select(*cell, "node", "vector", "smallest").groupBy(*cell)
+    ).applyInArrow(compare, "query long, node long, score double").groupBy("query", "node").agg(F.max("score").alias("score"))
+
+
+def _best(pairs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """query, score, ids of the k + 1 nearest nodes of each query, itself included."""
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "smallest")
+    ranked = pairs.join(ids, "node").withColumn("n", F.row_number().over(best))
+    return ranked.where(F.col("n") <= k + 1).select("query", "score", "ids")
+
+
 def search(
     vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABLES, axes: int = AXES, probes: int = PROBES,
 ) -> DataFrame:
@@ -120,9 +175,13 @@ def search(
 
     Equal vectors are one node, searched for and compared once, and come back at the end as
     their k + 1 smallest ids, which is all that a list can need. A bucket is cut into blocks of
-    about BLOCK vectors, to each of which the queries that look into it are sent, and a block
-    gives k + 1 rows a query at most. Vectors of another length than most, of which there are
-    none in a table of one model, raise.
+    about BLOCK vectors and QUERY_BLOCK queries, each compared with each, and a block gives k + 1
+    rows a query at most. Vectors of another length than most, of which there are none in a table
+    of one model, raise.
+
+    A query that has found fewer than ``k`` looks into all other buckets too, that is, it is compared
+    with every vector. Its own buckets hold no more than ``k`` vectors, so there are at most
+    2 * ``axes`` * ``k`` such queries a level, however large the table is.
 
     Left out as candidates and as queries: null ids, null vectors, and vectors that are zero or
     hold null or non-finite components. Rows of equal vec_id and vector are one. A query without
@@ -149,35 +208,21 @@ def search(
     levels, by_band = sorted(set(level.values())) or [axes], F.create_map(*[F.lit(x) for pair in level.items() for x in pair])
     own = banded.select("node", "vector", (by_band[F.col("band")] if level else F.lit(axes)).cast("long").alias("axes"))
     index = stage(_hashed(own, levels, tables, None), "index")
-    cell = ["axes", "tbl", "bucket"]
-    blocks = index.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    asked = _hashed(nodes.where("asks").select("node", "vector"), levels, tables, probes)
-    sent = asked.join(blocks, cell).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    kept = index.join(blocks, cell).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    cell = [*cell, "block"]
-    names = [*cell, "node", "vector"]
-
-    def compare(key, left, right):
-        out = pa.schema([("query", pa.int64()), ("node", pa.int64()), ("score", pa.float64())])
-        if not len(left) or not len(right):
-            return out.empty_table()
-        queries, candidates = (_matrix(t.column("vector")) for t in (left, right))
-        query, node = (t.column("node").to_numpy() for t in (left, right))
-        wanted, found = min(k + 1, len(node)), []
-        for i in range(0, len(query), 256):
-            products = queries[i:i + 256] @ candidates.T
-            best = np.argpartition(-products, wanted - 1, axis=1)[:, :wanted]
-            exact = (queries[i:i + 256, None, :] * candidates[best]).sum(axis=2)  # the same for equal pairs in any block
-            found.append((np.repeat(query[i:i + 256], wanted), node[best].ravel(), exact.ravel()))
-        return pa.table([np.concatenate(c) for c in zip(*found, strict=True)], schema=out)
-
-    pairs = sent.select(*names).groupBy(*cell).cogroup(kept.select(*names).groupBy(*cell)).applyInArrow(
-        compare, "query long, node long, score double"
-    ).groupBy("query", "node").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "smallest")
+    asking = nodes.where("asks").select("node", "vector")
     ids = nodes.select("node", "ids", F.col("ids")[0].alias("smallest"))
-    nearest = pairs.join(ids, "node").withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
-    listed = nearest.groupBy("query").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
+    pairs = _compared(_hashed(asking, levels, tables, probes), index, ids.drop("ids"), k)
+    found = stage(_best(pairs, ids, k), "found")
+    few = found.groupBy("query").agg(F.sum(F.size("ids")).alias("n")).where(F.col("n") <= k).select(F.col("query").alias("node"))
+    cell = ["axes", "tbl", "bucket"]
+    whole = [F.lit(0).cast("long").alias(c) for c in cell]
+    if not few.isEmpty():
+        # New names on one side: both sides of a cell come from one table here.
+        asked = asking.join(few, "node").select(F.col("node").alias("asked"), F.col("vector").alias("asking"), *whole).toDF("node", "vector", *cell)
+        every_node = nodes.select("node", "vector", *whole)
+        all_ = _compared(asked, every_node, ids.drop("ids"), k)
+        rest = found.join(few.withColumnRenamed("node", "query"), "query", "left_anti")
+        found = rest.unionByName(_best(all_, ids, k))
+    listed = found.groupBy("query").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
 
     # Each query of a node takes the node's list without itself.
     queries = rows.where(asks).distinct().join(nodes.where("asks").select("vector", F.col("node").alias("query")), "vector")
