@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 
@@ -14,12 +15,7 @@ from tidemark.llm.common import batches, marked, ready, remainder, rows_of, shin
 from tidemark.session import stage
 
 HELD_OUT_MOD, HELD_OUT_IS = 4, 2
-THRESHOLD = 0.3
-SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000  # labelled documents that the model is fitted on, at most
-FEATURES = 4000                          # cues of a token that the model may weigh, at most
 PREFIXES = (3, 4, 5, 6)
-LEAST_DOCS, LEAST_RATIO = 5, 20.0        # a cue is in so many toxic documents, and so much oftener than in clean ones
-ROUNDS = 16
 KNOWN_WORDS = 300_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -59,6 +55,19 @@ def forward_backward(odds: np.ndarray, begins: np.ndarray, start: float, step: n
     return left, right
 
 
+@dataclass(frozen=True)
+class Fit:
+    """How the model is fitted, and from which score on a document is predicted toxic."""
+
+    threshold: float = 0.3
+    sample_toxic: int = 4000   # labelled documents that the model is fitted on, at most
+    sample_clean: int = 8000
+    features: int = 4000       # cues of a token that the model may weigh, at most: those in most toxic documents
+    least_docs: int = 5        # a cue is in so many toxic documents,
+    least_ratio: float = 20.0  # and so much oftener than in clean ones
+    rounds: int = 16
+
+
 @dataclass
 class Model:
     cues: dict[str, int]
@@ -104,32 +113,43 @@ def _marginals(model: Model, known: _Odds, texts: list[bytes]) -> tuple[np.ndarr
     return both / (1 + both), begins
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, toxic, text of a bounded sample of the labelled documents that are not held out.
+def sample(docs: DataFrame, labels: DataFrame, how: Fit) -> DataFrame:
+    """half, toxic, weight, text of a bounded sample of the labelled documents that are not held out.
 
-    Those with the lowest hash of their id. Of documents with the same least shingle, mostly
-    near copies, one is taken, so that no text's words count as often as it has copies.
+    Those with the lowest hash of their id; ``weight`` is how many labelled documents of its label one
+    stands for. Of documents with the same words in the same runs of three one is taken, so that no
+    text counts as often as it has copies; a line that texts share makes no copies of them. ``half``
+    follows the least run, so that near copies mostly lie in one half.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max((F.col("toxic") > 0).cast("int")).alias("toxic")
     ).where(remainder(F.col("doc_id"), HELD_OUT_MOD) != HELD_OUT_IS)
     low = [F.xxhash64("doc_id"), "doc_id"]
-    chosen = known.where("toxic = 1").orderBy(*low).limit(SAMPLE_TOXIC).union(known.where("toxic = 0").orderBy(*low).limit(SAMPLE_CLEAN))
-    # At most SAMPLE_TOXIC + SAMPLE_CLEAN rows of two numbers.
+    most = {1: how.sample_toxic, 0: how.sample_clean}
+    chosen = known.where("toxic = 1").orderBy(*low).limit(most[1]).union(known.where("toxic = 0").orderBy(*low).limit(most[0]))
+    there = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    weight = {k: max(1.0, there.get(k, 0) / max(n, 1)) for k, n in most.items()}
+    # At most sample_toxic + sample_clean rows of two numbers.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
 
     def keyed(parts):
         for rest, group in batches(parts):
             hashes, begins = word_hashes(group)
-            least = [shingles(hashes[a:b], 3)[:1].tobytes() for a, b in zip(begins[:-1], begins[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(least, pa.binary()), rest.column(0), rest.column(1), pa.array(group, pa.binary())],
-                                             ["key", "doc_id", "toxic", "text"])
+            sets = [shingles(hashes[a:b], 3) for a, b in zip(begins[:-1], begins[1:], strict=True)]
+            keys = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets]
+            half = [int(x[0] >> np.uint64(63)) if len(x) else 0 for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.binary()), pa.array(half), rest.column(0), rest.column(1), pa.array(group, pa.binary())],
+                ["key", "half", "doc_id", "toxic", "text"],
+            )
 
-    rows = texts.select("doc_id", "toxic", "text").mapInArrow(keyed, "key binary, doc_id long, toxic int, text binary")
-    return rows.groupBy("key").agg(F.min(F.struct("doc_id", "text", "toxic")).alias("one")).select("key", "one.toxic", "one.text")
+    rows = texts.select("doc_id", "toxic", "text").mapInArrow(keyed, "key binary, half long, doc_id long, toxic int, text binary")
+    return rows.groupBy("key").agg(F.min(F.struct("doc_id", "half", "text", "toxic")).alias("one")).select(
+        "one.half", "one.toxic", F.when(F.col("one.toxic") == 1, weight[1]).otherwise(weight[0]).alias("weight"), "one.text"
+    )
 
 
-def _choose_cues(rows: DataFrame, toxic: int, clean: int) -> dict[str, int]:
+def _choose_cues(rows: DataFrame, toxic: int, clean: int, how: Fit) -> dict[str, int]:
     """The cues that mark toxic documents, by how many of those have them."""
     def count(parts):
         seen: dict[str, list[int]] = {}
@@ -143,8 +163,8 @@ def _choose_cues(rows: DataFrame, toxic: int, clean: int) -> dict[str, int]:
     counted = rows.select("toxic", "text").mapInArrow(count, "cue string, clean long, toxic long").groupBy("cue").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
     )
-    marks = (F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") / max(toxic, 1) > LEAST_RATIO * (F.col("clean") + 0.5) / max(clean, 1))
-    best = counted.where(marks).orderBy(F.desc("toxic"), "cue").limit(FEATURES).collect()
+    marks = (F.col("toxic") >= how.least_docs) & (F.col("toxic") / max(toxic, 1) > how.least_ratio * (F.col("clean") + 0.5) / max(clean, 1))
+    best = counted.where(marks).orderBy(F.desc("toxic"), "cue").limit(how.features).collect()
     return {r.cue: i for i, r in enumerate(best)}
 
 
@@ -187,17 +207,17 @@ def _gradient(rows: DataFrame, model: Model) -> np.ndarray:
     return np.sum([np.frombuffer(r.gradient) for r in sums] or [np.zeros(n + 5)], axis=0)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, how: Fit) -> Model:
     """Cues, weights and the curve of the score, each from the sample.
 
     Documents are labelled, tokens are not: a token is taken as toxic if its document is and it
     has a cue. Half of the sample fits the field, by gradients that tasks compute and the driver
-    adds up, FEATURES + 5 numbers each; the other half fits the curve.
+    adds up, ``features`` + 5 numbers each; the other half fits the curve, or the whole sample where
+    that half is of one label. A text in which the field finds nothing stays below the threshold.
     """
-    rows = stage(sample(docs, labels), "toxic_sample")
-    rows = rows.withColumn("half", F.pmod(F.crc32("key"), F.lit(2)))
+    rows = stage(sample(docs, labels, how), "toxic_sample")
     counts = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    chosen = _choose_cues(rows, counts.get(1, 0), counts.get(0, 0))
+    chosen = _choose_cues(rows, counts.get(1, 0), counts.get(0, 0), how)
     n = len(chosen)
     model = Model(chosen, np.zeros(n + 1), -6.0, 0.01, np.ones((2, 2)), (0.0, 1.0))
 
@@ -214,11 +234,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), batch.column(2)], ["toxic", "at", "half"])
 
     placed = stage(rows.select("toxic", "text", "half").mapInArrow(places, "toxic int, at binary, half long"), "toxic_tokens")
-    first = placed.where("half = 0")
+    halves = rows.groupBy("half").agg(F.count_distinct("toxic").alias("labels")).where("labels = 2").count()
+    first = placed.where("half = 0") if halves == 2 else placed
     # Steps that grow while a slope keeps its sign and shrink when it turns.
     theta = np.concatenate([np.zeros(n), [-6.0, np.log(0.01), 0.0, 0.0, 0.0]])
     pace, last = np.full(n + 5, 0.5), np.zeros(n + 5)
-    for _ in range(ROUNDS if n and counts.get(0) else 0):
+    for _ in range(how.rounds if n and counts.get(0) else 0):
         slope = _gradient(first, model) - 0.05 * theta
         turn = np.sign(slope * last)
         pace = np.clip(np.where(turn > 0, pace * 1.3, np.where(turn < 0, pace * 0.5, pace)), 1e-3, 2.0)
@@ -227,26 +248,29 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         model = Model(chosen, np.append(theta[:n], 0.0), float(theta[n]), float(np.exp(theta[n + 1])),
                       np.exp(np.array([[0.0, theta[n + 2]], [theta[n + 3], theta[n + 4]]])), model.scale)
     # The curve: a logistic regression of the label on the log of that sum.
-    second = rows.where("half = 1").select("toxic", "text")
+    second = (rows.where("half = 1") if halves == 2 else rows).select("toxic", "weight", "text")
 
     def expected(parts):
         known = _Odds(model)
         for batch in parts:
-            p, begins = _marginals(model, known, batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_sums(p, begins))], ["toxic", "expected"])
+            p, begins = _marginals(model, known, batch.column(2).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(_sums(p, begins))], ["toxic", "weight", "expected"])
 
-    seen = second.mapInArrow(expected, "toxic int, expected double").collect() if n else []
+    seen = second.mapInArrow(expected, "toxic int, weight double, expected double").collect() if n else []
+    w = np.array([r.weight for r in seen])
     x, y = np.log(np.array([r.expected for r in seen]) + 1e-4), np.array([r.toxic for r in seen], float)
+    nothing = float(np.log(how.threshold / (2 - how.threshold)))  # where half the threshold lies
     if len(set(y)) < 2:
         rate = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1) if counts.get(1) else 0.0
-        model.scale = (np.log(rate / (1 - rate)) if rate else -60.0, 0.0)
+        model.scale = (min(np.log(rate / (1 - rate)), nothing) if rate else -60.0, 0.0)
         return model
     z, design = np.zeros(2), np.stack([np.ones(len(x)), x], axis=1)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(design @ z, -30, 30)))
-        hessian = design.T @ (design * (p * (1 - p) + 1e-6)[:, None]) + 0.1 * np.eye(2)
-        z = z + np.linalg.solve(hessian, design.T @ (y - p) - 0.1 * z)
-    model.scale = (float(z[0]), float(z[1]))
+        hessian = design.T @ (design * (w * (p * (1 - p) + 1e-6))[:, None]) + 0.1 * np.eye(2)
+        z = z + np.linalg.solve(hessian, design.T @ (w * (y - p)) - 0.1 * z)
+    slope = max(float(z[1]), 0.0)
+    model.scale = (min(float(z[0]), nothing - slope * float(np.log(1e-4))), slope)
     return model
 
 
@@ -270,9 +294,9 @@ def _spans(text: bytes, p: np.ndarray) -> list[dict]:
 _SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("marginal", pa.float64())]))
 
 
-def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def _judged(docs: DataFrame, labels: DataFrame, how: Fit) -> DataFrame:
     ready(docs.sparkSession)
-    model = fit(docs, labels)
+    model = fit(docs, labels, how)
 
     def judge(parts):
         known = _Odds(model)
@@ -282,7 +306,7 @@ def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
             score = model.score(sums)
             spans = [_spans(t, p[a:b]) if (p[a:b] > 0.5).any() else [] for t, a, b in zip(texts, begins[:-1], begins[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*rest.columns, pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32)), pa.array(spans, _SPANS)],
+                [*rest.columns, pa.array(score), pa.array((score >= how.threshold).astype(np.int32)), pa.array(spans, _SPANS)],
                 ["doc_id", "mark", "held_out", "score", "predicted", "spans"],
             )
 
@@ -293,25 +317,26 @@ def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, spans.
 
     The field gives each token the chance of being toxic, from its cues and its neighbours.
     ``score``, between 0 and 1, grows with the sum of the squared marginals of the
-    whole text; ``predicted`` is 1 from THRESHOLD on; ``spans`` are the offsets of the characters of
+    whole text; ``predicted`` is 1 from the threshold on; ``spans`` are the offsets of the characters of
     the tokens likelier toxic than not. Only the text is looked at.
 
     A document is held out if crc32 of its id as text leaves HELD_OUT_IS modulo HELD_OUT_MOD; a
     null id counts as the empty text. Labels of held-out documents, null labels and null ids
     teach nothing; of several labels of one id the largest counts. Null and empty texts have no
     toxic token and get the lowest score. Without toxic labels every score is near 0; with no
-    cue it is the share of toxic documents in the sample. Repeated rows are scored each. An
+    cue, or labels of one kind only, it is the share of toxic documents in the sample, or half the
+    threshold if that is less. Repeated rows are scored each. An
     empty table gives no rows. Other columns are not read.
     """
-    return _judged(docs, labels).drop("mark")
+    return _judged(docs, labels, how).drop("mark")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, whole."""
-    clean = _judged(docs, labels).where("predicted = 0").groupBy("doc_id", "mark").agg(F.count(F.lit(1)).cast("int").alias("times"))
+    clean = _judged(docs, labels, how).where("predicted = 0").groupBy("doc_id", "mark").agg(F.count(F.lit(1)).cast("int").alias("times"))
     return rows_of(docs, clean, times="times")
