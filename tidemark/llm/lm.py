@@ -176,7 +176,7 @@ class Model:
         self.words = Words(self.folder, self.ranges).open()
         self.stats = [mapped(f"{self.folder}/stats-{i}", "<i8").reshape(-1, 5) for i in range(len(self.ranges))]
         self.pairs = [mapped(f"{self.folder}/pairs-{i}", "<u8") for i in range(len(self.shards))]
-        self.times = [mapped(f"{self.folder}/times-{i}", "<u4") for i in range(len(self.shards))]
+        self.times = [mapped(f"{self.folder}/times-{i}", "<u8") for i in range(len(self.shards))]
         return self
 
     def _stats(self, ids: np.ndarray) -> np.ndarray:
@@ -294,7 +294,7 @@ def train(texts: DataFrame, rows: int) -> Model:
         pairs, counts = _merged(table)
         shard = key[0].as_py()
         put(f"{folder}/pairs-{shard}", pairs.astype("<u8").tobytes())
-        put(f"{folder}/times-{shard}", np.minimum(counts, 0xFFFFFFFF).astype("<u4").tobytes())
+        put(f"{folder}/times-{shard}", counts.astype("<u8").tobytes())
         first, second = (pairs >> _HALF).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
         ids, at = np.unique(first, return_index=True)
         often = np.stack([counts == 1, counts == 2, counts > 2], axis=1)
