@@ -57,7 +57,8 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET) ->
 
     A token is a word. The bucket bounds minimise the padding over the histogram of all lengths,
     which has a few thousand rows whatever the input and is all that comes to the driver.
-    ``bucket_tokens`` is the length to which a document is padded. In a bucket the documents lie
+    Beyond EXACT_LENGTHS words a bound lies on the edge of a bin, 1/256 of an octave at most from the best one.
+    ``bucket_tokens`` is the length to which a document is padded, that of the longest in its bucket. In a bucket the documents lie
     in a shuffled order, and each ``batch_docs`` of them, as many as the budget holds, are a
     batch: ``batch`` numbers them from 0 within the bucket, ``slot`` within the batch.
 
@@ -74,7 +75,11 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET) ->
     histogram = lengths.groupBy("bin").agg(F.count(F.lit(1)).alias("docs")).orderBy("bin").collect()
     bins, counts = (np.array([r[i] for r in histogram], np.int64) for i in (0, 1))
     bounds = best_bounds(bins, counts, buckets) if len(bins) else [0]
+    # A bin is as wide as its octave asks; the longest document that lies in a bucket is what it pads to.
     bucket = F.element_at(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b >= F.col("bin")), 1)
+    longest = {r.bound: r.longest for r in lengths.groupBy(bucket.alias("bound")).agg(F.max("n_tokens").alias("longest")).collect()}
+    bucket = F.element_at(F.filter(F.array(*[F.struct(F.lit(b).cast("long").alias("bound"), F.lit(longest.get(b, b)).cast("long").alias("longest"))
+                                             for b in bounds]), lambda b: b["bound"] >= F.col("bin")), 1)["longest"]
     placed = lengths.withColumn("bucket_tokens", bucket)
     ranked = running_sum(placed, ["bucket_tokens"], ["place", "row"], "one", "rank", slice_bits(int(counts.sum())))
     held = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.col("bucket_tokens"), F.lit(1)))).cast("long")
