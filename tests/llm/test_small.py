@@ -556,3 +556,98 @@ def test_empty_tables_give_no_rows(spark):
         ann.search(spark.createDataFrame([], "vec_id long, embedding array<float>")),
     ]:
         assert df.count() == 0
+
+
+def twins(steps):
+    """The Thue-Morse word of 2^steps letters and its complement, which many polynomial hashes take for one."""
+    word, swap = "a", str.maketrans("ab", "ba")
+    for _ in range(steps):
+        word += word.translate(swap)
+    return word, word.translate(swap)
+
+
+@pytest.mark.parametrize("steps", [3, 4, 5, 6, 10, 11, 12])
+def test_structured_words_have_hashes_of_their_own(steps):
+    hashes, _ = common.word_hashes([w.encode() for w in twins(steps)])
+    assert len(set(hashes.tolist())) == 2
+
+
+def test_pieces_that_share_a_hash_have_their_own_ids(monkeypatch):
+    texts = [*twins(10), " one two", "two one ", "a b", "b a"]
+    want = [np.array([*e.ids, 0], "<u2").tobytes() for e in Tokenizer.from_file(VOCABULARY).encode_batch(texts, add_special_tokens=False)]
+    raw = [t.encode() for t in texts]
+    assert token_files.Encoder(VOCABULARY, "<u2", added=True)(raw) == want
+    monkeypatch.setattr(token_files, "run_hashes", lambda data, first, last: (last - first).astype(np.uint64))
+    encoder = token_files.Encoder(VOCABULARY, "<u2", added=True)
+    assert encoder(raw) == want and [encoder([t])[0] for t in raw] == want
+
+
+def test_words_made_to_collide_link_no_texts(spark):
+    rows = [(i, w, "s") for i, w in enumerate(w for steps in (10, 11, 12) for w in twins(steps))]
+    assert all(r.kept for r in near_dedup.near_dedup(frame(spark, rows), words=2, percent=80).collect())
+
+
+@pytest.mark.parametrize("n", [1, 12, 30])
+def test_search_finds_all_candidates_of_small_tables(spark, n):
+    x = np.random.default_rng(4).normal(size=(n, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.search(table).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    for q in range(0, n, 20):
+        scores = (x * x[q]).sum(axis=1)
+        best = [int(i) for i in np.lexsort((np.arange(n), -scores)) if i != q][:20]
+        assert sorted(found.get(q, [])) == list(zip(range(1, len(best) + 1), best, strict=True))
+
+
+@pytest.mark.parametrize("block", [ann.BLOCK, 100])
+def test_ties_of_unlike_vectors_go_to_the_smaller_id(spark, monkeypatch, block):
+    monkeypatch.setattr(ann, "BLOCK", block)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", block // 4)
+    x = np.random.default_rng(5).choice([-1.0, 1.0], (1500, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.search(table, tables=2, probes=64).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    for q in range(0, 1500, 20):
+        scores = x @ x[q]
+        best = [int(i) for i in np.lexsort((np.arange(1500), -scores)) if i != q][:20]
+        assert sorted(found[q]) == list(zip(range(1, 21), best, strict=True))
+
+
+def test_packing_pads_to_the_longest_of_a_bucket(spark):
+    import itertools
+    sizes = [1, 1, 2, 3, 7, 9, 600, 701, 701, 1001, 4003, 4003]
+    got = packing.pack(frame(spark, [(i, "w " * n, "s") for i, n in enumerate(sizes)]), buckets=3).collect()
+    assert {r.bucket_tokens for r in got} <= set(sizes)
+    rest = sorted(set(sizes))
+    least = min(sum(min(b for b in (*c, rest[-1]) if b >= n) for n in sizes) for c in itertools.combinations(rest[:-1], 2))
+    assert sum(r.bucket_tokens for r in got) == least
+
+
+def test_texts_of_one_template_are_not_all_toxic(spark):
+    text = "dear {} the meeting of the group is on monday in the large room"
+    rows = [(i, text.format(f"idiot name{i}" if i % 10 == 0 else f"name{i}"), "s") for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(400)], "doc_id long, toxic int")
+    rows = [(i, t + " all rights of this page are with the house that made it", s) for i, t, s in rows]
+    table = frame(spark, rows)
+    taught = {r.doc_id for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    assert toxicity.sample(table, labels, toxicity.Fit()).count() == len(taught)
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity(table, labels).collect()}
+    assert got == {i: int(i % 10 == 0) for i in range(400)}
+
+
+def test_toxicity_without_anything_to_tell_texts_apart_marks_none(spark):
+    rows = [(i, f"plain words number{i}", "s") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    assert not any(r.predicted for r in toxicity.toxicity(frame(spark, rows), labels).collect())
+    all_ = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, toxic int")
+    assert not any(r.predicted for r in toxicity.toxicity(frame(spark, rows), all_).collect())
+
+
+def test_rows_that_differ_beside_id_and_text_all_stay(spark):
+    rows = [(None, "one text", "a"), (None, "one text", "b"), (3, "one text", "a"), (3, "one text", "b")]
+    table = frame(spark, rows)
+    stay = toxicity.drop_toxic(table, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert Counter((r.doc_id, r.source) for r in stay.collect()) == Counter((i, s) for i, _, s in rows)
