@@ -47,38 +47,43 @@ def _nearest(products: np.ndarray, axes: int, probes: int) -> np.ndarray:
     return np.argsort(-signed, axis=1, kind="stable")[:, :probes]
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64).reshape(len(column), -1)
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length without nulls as the rows of a matrix."""
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    values = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in chunks])
+    return values.astype(np.float64).reshape(len(column), -1)
 
 
 def _hashed(vectors: DataFrame, levels: list[int], tables: int, probes: int | None) -> DataFrame:
-    """node, vector: a row for each level, table and bucket that it is in or, with ``probes``, looks into.
+    """node, smallest, vector, axes, cells: a row for each level, with the buckets that the vector is in or, with ``probes``, looks into.
 
     A level is a number of axes, and 0 is the level that is compared whole: one bucket of one table.
-    A vector is in its own level ``axes``, a query looks into all ``levels``.
+    A vector is in its own level ``axes``, a query looks into all ``levels``. ``cells`` numbers the
+    buckets of all tables of a level, so that a vector is one row until it is sent to them.
     """
     def assign(parts):
         for batch in parts:
             if not len(batch):
                 continue
-            node, vector = batch.column(0), batch.column(1)
-            own = None if probes else batch.column(2).to_numpy()
-            for t, products in enumerate(_axes(_matrix(vector), tables, max(levels))):
-                for level in levels:
-                    if not level and t:
-                        continue
-                    some = np.arange(len(batch)) if probes else np.flatnonzero(own == level)
-                    if not len(some):
-                        continue
-                    nearest = _nearest(products[some], level, probes or 1) if level else np.zeros((len(some), 1))
-                    for p in range(nearest.shape[1]):
-                        yield pa.RecordBatch.from_arrays(
-                            [node.take(pa.array(some)), pa.array(np.full(len(some), level)), pa.array(np.full(len(some), t)),
-                             pa.array(nearest[:, p].astype(np.int64)), vector.take(pa.array(some))],
-                            ["node", "axes", "tbl", "bucket", "vector"],
-                        )
-
-    return vectors.mapInArrow(assign, "node long, axes long, tbl long, bucket long, vector array<double>")
+            own = None if probes else batch.column(3).to_numpy()
+            products = list(_axes(_matrix(batch.column(2)), tables, max(levels)))
+            for level in levels:
+                some = np.arange(len(batch)) if probes else np.flatnonzero(own == level)
+                if not len(some):
+                    continue
+                if level:
+                    cells = np.concatenate([_nearest(p[some], level, probes or 1) + 2 * level * t for t, p in enumerate(products)], axis=1)
+                else:
+                    cells = np.zeros((len(some), 1), np.int64)
+                ends = np.arange(len(some) + 1, dtype=np.int32) * cells.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).take(pa.array(some)) for c in range(3)], pa.array(np.full(len(some), level)),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(cells.ravel()))],
+                    ["node", "smallest", "vector", "axes", "cells"],
+                )
+
+    kind = vectors.schema["vector"].dataType.simpleString()
+    return vectors.mapInArrow(assign, f"node long, smallest long, vector {kind}, axes long, cells array<long>")
 
 
 def _levels(bands: list[tuple[int, int]], axes: int, probes: int) -> dict[int, int]:
@@ -98,8 +103,12 @@ def _levels(bands: list[tuple[int, int]], axes: int, probes: int) -> dict[int, i
 
 
 def valid(vectors: DataFrame) -> DataFrame:
-    """vec_id, vector of the rows that take part: no null, no null or non-finite component, not all zeros."""
-    vector = F.col("embedding").cast("array<double>")
+    """vec_id, vector of the rows that take part: no null, no null or non-finite component, not all zeros.
+
+    Components of four bytes stay so, which halves what is shuffled; all else is taken as double.
+    """
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    vector = F.col("embedding") if single else F.col("embedding").cast("array<double>")
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists(vector, lambda x: x != 0)
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector")).where(
@@ -107,9 +116,13 @@ def valid(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _compared(asked: DataFrame, index: DataFrame, smallest: DataFrame, k: int) -> DataFrame:
-    """query, node, score: of each block of a cell the k + 1 nearest of each query, ties to the smallest id."""
-    cell = ["axes", "tbl", "bucket"]
+def _compared(asked: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """query, node, smallest, score: of each block of a cell the k + 1 nearest of each query, ties to the smallest id.
+
+    Vectors are sent to their cells once, from where they lie; what is counted before needs the cells only.
+    """
+    cell = ["axes", "cell"]
+    asked, index = (rows.withColumn("cell", F.explode("cells")).drop("cells") for rows in (asked, index))
 
     def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
         return rows.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
@@ -122,11 +135,11 @@ def _compared(asked: DataFrame, index: DataFrame, smallest: DataFrame, k: int) -
 
     cells = blocks(index, BLOCK, "lefts").join(blocks(asked.select(*cell), QUERY_BLOCK, "rights"), cell)
     sent = asked.join(cells, cell).withColumn("left", every("lefts")).withColumn("right", one("rights"))
-    kept = index.join(cells, cell).withColumn("left", one("lefts")).withColumn("right", every("rights")).join(smallest, "node")
+    kept = index.join(cells, cell).withColumn("left", one("lefts")).withColumn("right", every("rights"))
     cell = [*cell, "left", "right"]
 
     def compare(key, left, right):
-        out = pa.schema([("query", pa.int64()), ("node", pa.int64()), ("score", pa.float64())])
+        out = pa.schema([("query", pa.int64()), ("node", pa.int64()), ("smallest", pa.int64()), ("score", pa.float64())])
         if not len(left) or not len(right):
             return out.empty_table()
         queries, candidates = (_matrix(t.column("vector")) for t in (left, right))
@@ -146,19 +159,19 @@ def _compared(asked: DataFrame, index: DataFrame, smallest: DataFrame, k: int) -
             order = np.lexsort((id_[c], -exact, q))
             q, c, exact = q[order], c[order], exact[order]
             keep = np.arange(len(q)) - np.searchsorted(q, q) < wanted
-            found.append((query[i + q[keep]], node[c[keep]], exact[keep]))
+            found.append((query[i + q[keep]], node[c[keep]], id_[c[keep]], exact[keep]))
         return pa.table([np.concatenate(c) for c in zip(*found, strict=True)], schema=out)
 
     return sent.select(*cell, "node", "vector").groupBy(*cell).cogroup(
         kept.select(*cell, "node", "vector", "smallest").groupBy(*cell)
-    ).applyInArrow(compare, "query long, node long, score double").groupBy("query", "node").agg(F.max("score").alias("score"))
+    ).applyInArrow(compare, "query long, node long, smallest long, score double").groupBy("query", "node", "smallest").agg(F.max("score").alias("score"))
 
 
 def _best(pairs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """query, score, ids of the k + 1 nearest nodes of each query, itself included."""
     best = Window.partitionBy("query").orderBy(F.desc("score"), "smallest")
-    ranked = pairs.join(ids, "node").withColumn("n", F.row_number().over(best))
-    return ranked.where(F.col("n") <= k + 1).select("query", "score", "ids")
+    ranked = pairs.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
+    return ranked.join(ids, "node").select("query", "score", "ids")
 
 
 def search(
@@ -206,20 +219,18 @@ def search(
     banded = nodes.withColumn("band", F.floor(F.lit(longest or 0.0) - length).cast("int"))
     level = _levels([tuple(r) for r in banded.groupBy("band").count().collect()], axes, probes)
     levels, by_band = sorted(set(level.values())) or [axes], F.create_map(*[F.lit(x) for pair in level.items() for x in pair])
-    own = banded.select("node", "vector", (by_band[F.col("band")] if level else F.lit(axes)).cast("long").alias("axes"))
+    smallest = F.col("ids")[0].alias("smallest")
+    own = banded.select("node", smallest, "vector", (by_band[F.col("band")] if level else F.lit(axes)).cast("long").alias("axes"))
     index = stage(_hashed(own, levels, tables, None), "index")
-    asking = nodes.where("asks").select("node", "vector")
-    ids = nodes.select("node", "ids", F.col("ids")[0].alias("smallest"))
-    pairs = _compared(_hashed(asking, levels, tables, probes), index, ids.drop("ids"), k)
+    asking, ids = nodes.where("asks").select("node", smallest, "vector"), nodes.select("node", "ids")
+    pairs = _compared(_hashed(asking, levels, tables, probes), index, k)
     found = stage(_best(pairs, ids, k), "found")
     few = found.groupBy("query").agg(F.sum(F.size("ids")).alias("n")).where(F.col("n") <= k).select(F.col("query").alias("node"))
-    cell = ["axes", "tbl", "bucket"]
-    whole = [F.lit(0).cast("long").alias(c) for c in cell]
+    whole = [F.lit(0).cast("long").alias("axes"), F.array(F.lit(0).cast("long")).alias("cells")]
     if not few.isEmpty():
         # New names on one side: both sides of a cell come from one table here.
-        asked = asking.join(few, "node").select(F.col("node").alias("asked"), F.col("vector").alias("asking"), *whole).toDF("node", "vector", *cell)
-        every_node = nodes.select("node", "vector", *whole)
-        all_ = _compared(asked, every_node, ids.drop("ids"), k)
+        asked = asking.join(few, "node").select(F.col("node").alias("asked"), F.col("vector").alias("asking"), *whole).toDF("node", "vector", "axes", "cells")
+        all_ = _compared(asked, nodes.select("node", smallest, "vector", *whole), k)
         rest = found.join(few.withColumnRenamed("node", "query"), "query", "left_anti")
         found = rest.unionByName(_best(all_, ids, k))
     listed = found.groupBy("query").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
