@@ -601,6 +601,21 @@ def test_search_finds_all_candidates_of_small_tables(spark, n):
         assert sorted(found.get(q, [])) == list(zip(range(1, len(best) + 1), best, strict=True))
 
 
+def test_search_over_components_of_four_bytes_scores_in_double(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    assert dict(ann.valid(table).dtypes)["vector"] == "array<float>"
+    ids, x = map(np.array, zip(*((r.vec_id, r.embedding) for r in table.select("vec_id", "embedding").collect()), strict=True))
+    x, found = x.astype(np.float64), {}
+    for r in ann.search(table, probes=64).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(found) == {int(i) for i in ids if i % 20 == 0}
+    for q, listed in found.items():
+        scores = (x * x[ids == q]).sum(axis=1)
+        best = [i for i in np.lexsort((ids, -scores)) if ids[i] != q][:20]
+        assert [v for _, v, _ in sorted(listed)] == [int(ids[i]) for i in best]
+        assert np.allclose([s for _, _, s in sorted(listed)], scores[best], rtol=0, atol=1e-14)
+
+
 @pytest.mark.parametrize("block", [ann.BLOCK, 100])
 def test_ties_of_unlike_vectors_go_to_the_smaller_id(spark, monkeypatch, block):
     monkeypatch.setattr(ann, "BLOCK", block)

@@ -205,18 +205,18 @@ def search(
     asks = F.pmod("vec_id", F.lit(every)) == 0
     lowest = Window.partitionBy("vector", "asks").orderBy("vec_id")
     few = rows.distinct().withColumn("asks", asks).withColumn("n", F.row_number().over(lowest)).where(F.col("n") <= k + 1)
-    nodes = stage(
-        few.groupBy("vector").agg(F.slice(F.array_sort(F.collect_list("vec_id")), 1, k + 1).alias("ids"), F.max("asks").alias("asks"))
-        .select(F.monotonically_increasing_id().alias("node"), "vector", "ids", "asks"), "vectors",
-    )
     # Lengths as logarithms, which neither overflow nor vanish.
     most = F.array_max(F.transform("vector", F.abs))
     length = F.log2(most) + F.log2(F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / most) * (x / most))) / 2
-    longest, short, long = nodes.agg(F.max(length), F.min(F.size("vector")), F.max(F.size("vector"))).first()
+    nodes = stage(
+        few.groupBy("vector").agg(F.slice(F.array_sort(F.collect_list("vec_id")), 1, k + 1).alias("ids"), F.max("asks").alias("asks"))
+        .select(F.monotonically_increasing_id().alias("node"), "vector", "ids", "asks", length.alias("length")), "vectors",
+    )
+    longest, short, long = nodes.agg(F.max("length"), F.min(F.size("vector")), F.max(F.size("vector"))).first()
     if short != long:
         raise ValueError(f"vectors of {short} to {long} components")
 
-    banded = nodes.withColumn("band", F.floor(F.lit(longest or 0.0) - length).cast("int"))
+    banded = nodes.withColumn("band", F.floor(F.lit(longest or 0.0) - F.col("length")).cast("int"))
     level = _levels([tuple(r) for r in banded.groupBy("band").count().collect()], axes, probes)
     levels, by_band = sorted(set(level.values())) or [axes], F.create_map(*[F.lit(x) for pair in level.items() for x in pair])
     smallest = F.col("ids")[0].alias("smallest")
