@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import stage
+from tidemark.session import shuffle_partitions, stage
 from tidemark.sources.tables import one_row, table_or_empty
 
 BUCKET_DIGITS = 4            # 16^4 = 65,536 buckets of rows at least
@@ -34,8 +34,7 @@ def row_text(df: DataFrame, columns: list[str]) -> Column:
 
 def _digits(df: DataFrame) -> int:
     """Digits that make at least as many buckets as shuffles have partitions."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(BUCKET_DIGITS, len(f"{partitions - 1:x}"))
+    return max(BUCKET_DIGITS, len(f"{shuffle_partitions(df.sparkSession) - 1:x}"))
 
 
 def surrogate_key(
