@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acceptance import registry
 from tidemark import session
+from tidemark.operators import layout
 
 
 @pytest.fixture
@@ -33,3 +34,14 @@ def test_queries_are_sized_for_their_tables(spark, initial, tmp_path, monkeypatc
     monkeypatch.setattr(registry, "ORACLE", {})
     registry.query("q")(lambda spark, d: initial())
     assert registry.QUERIES["q"](spark, str(tmp_path)) > 100
+
+
+def test_the_rank_is_the_number_of_bounds_below(spark):
+    bounds = [1.0, 2.5, 2.75, 9.0, 1e300, float("inf")]
+    places = [None, float("-inf"), 0.0, 1.0, 1.5, 2.5, 2.6, 2.75, 3.0, 9.0, 10.0, float("inf")]
+    df = spark.createDataFrame([(p,) for p in places], "p double")
+    for some in (bounds, [1.0], []):
+        found = df.select("p", layout._rank(F.array(*[F.lit(b) for b in some]).cast("array<double>"), F.col("p"), 6).alias("r"))
+        assert all(r.r == sum(b < r.p for b in some if r.p is not None) for r in found.collect())
+    plan = df.select(layout.curve(df, ["p"]))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("lambda") < 40  # the column is ranked once, not for each bit

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import SHUFFLE_BYTES_PER_TASK
+from tidemark.session import SHUFFLE_BYTES_PER_TASK, shuffle_partitions
 from tidemark.sources.tables import one_row, scan_folders, scan_table, table_bytes
 
 # Bounds the size of a file where rows are narrow and compress well.
@@ -84,7 +84,7 @@ def cluster_layout(
     """
     if not files:
         wanted = -(-table_bytes(spark, source) // SHUFFLE_BYTES_PER_TASK)
-        files = wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+        files = wanted if wanted > shuffle_partitions(spark) else None
     spread = [F.col(f"`{by}`"), F.col("_row")]
     ranged = scan_table(spark, source, schema).withColumn("_row", F.monotonically_increasing_id())
     ranged = ranged.repartitionByRange(files, *spread) if files else ranged.repartitionByRange(*spread)
@@ -106,6 +106,12 @@ def _place(df: DataFrame, name: str) -> Column:
     return c.cast("double")
 
 
+def _known(df: DataFrame, name: str) -> Column:
+    """The place, null for NaN, which only fractions can be."""
+    place = _place(df, name)
+    return F.when(~F.isnan(place), place) if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)) else place
+
+
 def curve(df: DataFrame, by: list[str], bits: int = RANK_BITS) -> Column:
     """A number that is close for rows that are close in all columns of ``by``.
 
@@ -114,20 +120,30 @@ def curve(df: DataFrame, by: list[str], bits: int = RANK_BITS) -> Column:
     turn, the highest first. Nulls, and NaN with them, lie in the first range.
     """
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    known = {name: F.when(~F.isnan(_place(df, name)), _place(df, name)) for name in by}
+    known = {name: _known(df, name) for name in by}
     quantiles = one_row(df.agg(*[F.percentile_approx(known[name], shares, 10_000).alias(f"_{i}") for i, name in enumerate(by)]))
     spread = F.lit(0).cast("long")
     for i, name in enumerate(by):
         bounds = F.array(*[F.lit(float(q)) for q in sorted(set(quantiles[i] or []))]).cast("array<double>")
-        rank = _rank(bounds, known[name])
-        for bit in range(bits):
-            one = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long")
-            spread = spread + F.shiftleft(one, bit * len(by) + len(by) - 1 - i)
+        dealt = F.array(*[F.lit(_dealt(rank, bits, len(by), i)).cast("long") for rank in range(1 << bits)])
+        spread = spread + F.get(dealt, _rank(bounds, known[name], bits))
     return spread
 
 
-def _rank(bounds: Column, place: Column) -> Column:
-    return F.when(place.isNull(), 0).otherwise(F.size(F.filter(bounds, lambda q: q < place)))
+def _dealt(rank: int, bits: int, columns: int, i: int) -> int:
+    """The number in the curve that has only the bits of the ``i``-th column's rank."""
+    return sum((rank >> bit & 1) << (bit * columns + columns - 1 - i) for bit in range(bits))
+
+
+def _rank(bounds: Column, place: Column, bits: int) -> Column:
+    """How many of the sorted bounds, fewer than 2^bits, lie below the place: 0 for null, found by halving."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(bits))])
+
+    def below(known: Column) -> Column:  # beyond the last bound get gives null, which is not below
+        return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) < known, at + step).otherwise(at))
+
+    # The place is bound to a name first: each halving would work it out again.
+    return F.get(F.transform(F.array(place), below), F.lit(0))
 
 
 def cluster_layout_columns(
@@ -143,7 +159,7 @@ def cluster_layout_columns(
         raise ValueError(f"1 to {63 // RANK_BITS} columns, not {len(by)}")
     if not files:
         wanted = -(-table_bytes(spark, source) // SHUFFLE_BYTES_PER_TASK)
-        files = wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+        files = wanted if wanted > shuffle_partitions(spark) else None
     table = scan_table(spark, source, schema)
     placed = table.withColumns({"_curve": curve(table, by), "_row": F.monotonically_increasing_id()})
     spread = [F.col("_curve"), F.col("_row")]
