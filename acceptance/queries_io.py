@@ -11,7 +11,7 @@ from acceptance.queries_model import SALES_KEY, monthly_sales, sales_rows
 from acceptance.registry import query
 from tidemark.operators import clean, layout
 from tidemark.plans import facts
-from tidemark.session import shared_dir, stage
+from tidemark.session import SHUFFLE_BYTES_PER_TASK, shared_dir, stage
 from tidemark.sources import csv, lookup, manifest, tables
 
 PAYMENT_TEXT = ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"]
@@ -235,8 +235,9 @@ def merge_schema_versions(spark, d):
 @query("compact_files", "SELECT * FROM {monthly}")
 def compact_files(spark, d):
     scattered, compact = shared_dir(spark, "scattered"), shared_dir(spark, "compact")
-    monthly = monthly_sales(spark, d)
-    monthly.repartition(4).write.partitionBy("year_month").parquet(scattered)
+    # Four files a folder, more where a task would write more than its share.
+    files = max(4, -(-tables.table_bytes(spark, d) // SHUFFLE_BYTES_PER_TASK))
+    monthly_sales(spark, d).repartition(files).write.partitionBy("year_month").parquet(scattered)
     return layout.compact_files(spark, scattered, compact, "year_month")
 
 

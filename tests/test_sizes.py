@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from acceptance import registry
+from acceptance import queries_io, registry
 from tidemark import session
 from tidemark.operators import layout
 
@@ -45,3 +45,16 @@ def test_the_rank_is_the_number_of_bounds_below(spark):
         assert all(r.r == sum(b < r.p for b in some if r.p is not None) for r in found.collect())
     plan = df.select(layout.curve(df, ["p"]))._jdf.queryExecution().analyzed().toString()
     assert plan.count("lambda") < 40  # the column is ranked once, not for each bit
+
+
+def test_scattered_files_follow_the_size(spark, tmp_path, monkeypatch):
+    import glob
+
+    sales = spark.range(400).select((F.col("id") % 2).cast("string").alias("year_month"), "id")
+    sales.write.parquet(f"{tmp_path}/in/lineitem.parquet")
+    monkeypatch.setattr(queries_io, "monthly_sales", lambda spark, d: sales)
+    monkeypatch.setattr(queries_io, "SHUFFLE_BYTES_PER_TASK", 400)
+    monkeypatch.setattr(queries_io, "shared_dir", lambda spark, name: f"{tmp_path}/{name}")
+    assert queries_io.compact_files(spark, f"{tmp_path}/in").count() == 400
+    assert len(glob.glob(f"{tmp_path}/scattered/year_month=1/*.parquet")) > 4
+    assert len(glob.glob(f"{tmp_path}/compact/year_month=1/*.parquet")) == 1
