@@ -14,7 +14,7 @@ from acceptance.queries_model import silver_tables
 from tests.conftest import rows
 from tidemark.operators import keys
 from tidemark.plans import facts, increment
-from tidemark.session import shared_dir
+from tidemark.session import shared_dir, stage
 from tidemark.streaming import events
 from tidemark.streaming.incremental import incremental_load
 
@@ -145,3 +145,38 @@ def test_late_rows_are_kept_aside_and_a_batch_written_again_changes_nothing(spar
     got = {(r.day and r.day.day, r.event_type): (r.events, r.late) for r in events.kept_and_late(spark, root, batches[0].schema).collect()}
     assert got == {(5, "a"): (1, 0), (5, "n"): (1, 0), (6, "a"): (1, 0), (None, "z"): (1, 0), (20, "a"): (1, 0), (1, "b"): (0, 1),
                    (18, "late"): (0, 1), (19, "edge"): (1, 0)}
+
+
+def test_the_rows_of_a_month_are_written_once(spark, sf_dir, monkeypatch):
+    root = shared_dir(spark, "star")
+    staged = []
+    monkeypatch.setattr(increment, "stage", lambda df, name: staged.append((name, df.columns)) or stage(df, name))
+    feeds = silver_tables(spark, sf_dir)
+    loaded = increment.load_star(spark, feeds, root, 1)
+    assert [name for name, _ in staged] == ["touched_orders"]  # neither items nor fact rows are staged
+    assert len(staged[0][1]) < len(feeds["orders"].columns)
+    assert rows(loaded["fact_sales"].select(*FACT)) == rebuilt(feeds)
+
+
+def test_a_month_left_with_an_order_without_items_loses_its_folder(spark, sf_dir):
+    root = shared_dir(spark, "star")
+    whole = silver_tables(spark, sf_dir)
+    nothing = {name: df.limit(0) for name, df in whole.items()}
+    some = whole["orders"].join(whole["order_items"].select("order_id"), "order_id", "left_semi").orderBy("order_id").limit(2)
+    first, second = (r.order_id for r in some.orderBy("order_id").collect())
+    here, there = (F.lit(d).cast("date") for d in ("2031-05-05", "2032-06-06"))
+
+    def sent(order, day):
+        return whole["orders"].where(F.col("order_id") == order).withColumn("order_purchase_date", day)
+
+    items = whole["order_items"].where(F.col("order_id") == first)
+    old = increment.load_star(spark, {**nothing, "orders": sent(first, here).union(sent(second, here)), "order_items": items}, root, 1)
+    assert {r.sales_month for r in old["fact_sales"].collect()} == {"2031-5"}
+    new = increment.load_star(spark, {**nothing, "orders": sent(first, there)}, root, 2)
+    for table in ("fact_sales", "fact_sales_agg"):
+        assert {r.sales_month for r in new[table].collect()} == {"2032-6"}
+    # An order of a month that only another one's payment touches keeps its rows.
+    late = increment.load_star(spark, {**nothing, "orders": sent(second, there), "order_items": whole["order_items"].where(
+        F.col("order_id") == second)}, root, 3)
+    assert {r.order_id for r in late["fact_sales"].collect()} == {first, second}
+    assert not glob.glob(f"{root.removeprefix('file://')}/gold/*/sales_month=2031-5")
