@@ -334,15 +334,10 @@ def star_join(spark, d):
     """The fact joined to its dimensions by their keys, all from raw text."""
     tables = silver_tables(spark, d)
     dimensions = _sales_dimensions(tables)
-    star = facts.fact_sales_star(
-        *[tables[n] for n in ["orders", "order_items", "order_payments", "order_reviews"]], dimensions
+    return facts.fact_sales_star(
+        *[tables[n] for n in ["orders", "order_items", "order_payments", "order_reviews"]], dimensions,
+        columns={"dim_customer": ["customer_city"], "dim_product": ["category"], "dim_seller": ["seller_state"]},
     ).drop("order_status", "delivery_date", "shipping_cost", "review_sentiment")
-    for name, sk, column in [
-        ("dim_customer", "customer_sk", "customer_city"), ("dim_product", "product_sk", "category"),
-        ("dim_seller", "seller_sk", "seller_state"),
-    ]:
-        star = star.join(dimensions[name].select(sk, column), sk, "left")
-    return star
 
 
 def _sales_dimensions(tables):

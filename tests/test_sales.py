@@ -67,3 +67,56 @@ def test_cents_are_exact(spark):
 
     df = spark.range(1_000_000).select((F.col("id") % 1000 / 100).alias("x"))
     assert df.select(total(F.col("x"))).first()[0] == 4995000.0
+
+
+def test_star_takes_columns_of_its_dimensions_without_moving_the_fact_again(spark):
+    orders = spark.createDataFrame(
+        [("o1", "c1", "P", None, None), ("o2", "c9", "P", None, None), ("o3", None, "P", None, None)],
+        "order_id string, customer_id string, order_status string, order_purchase_date date, "
+        "order_delivered_customer_date date",
+    )
+    items = spark.createDataFrame(
+        [("o1", "p1", "s1", 1.0, 0.5), ("o1", "p2", None, 2.0, 0.5), ("o2", "p1", "s1", 3.0, 0.5), ("o3", "p1", "s1", 4.0, 0.5)],
+        "order_id string, product_id string, seller_id string, price double, freight_value double",
+    )
+    payments = spark.createDataFrame(
+        [("o1", 1.0, "cash"), ("o1", 2.0, "cash")], "order_id string, payment_value double, payment_type string"
+    )
+    reviews = spark.createDataFrame([], "order_id string, review_score int")
+    # Some natural keys come twice; the row with the lowest key counts, with its nulls.
+    dimensions = {
+        "dim_customer": spark.createDataFrame(
+            [("c1", 5, "later"), ("c1", 2, "first"), ("Unknown", 3, "none")],
+            "natural_customer_key string, customer_sk long, customer_city string",
+        ),
+        "dim_product": spark.createDataFrame(
+            [("p1", 8, "later"), ("p1", 1, None)], "natural_product_key string, product_sk long, category string"
+        ),
+        "dim_seller": spark.createDataFrame(
+            [("s1", 0, "SP"), ("Unknown", 1, "RJ")], "natural_seller_key string, seller_sk long, seller_state string"
+        ),
+    }
+    entities, columns = [orders, items, payments, reviews], {
+        "dim_customer": ["customer_city"], "dim_product": ["category"], "dim_seller": ["seller_state"],
+    }
+    shown = ["order_id", "sales_amount", "payment_amount", *[c for n, [d] in columns.items() for c in (n.replace("dim_", "") + "_sk", d)]]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        star = facts.fact_sales_star(*entities, dimensions, columns=columns)
+        plan = star._jdf.queryExecution().executedPlan().toString()
+        got = rows(star.select(*shown))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_key = facts.fact_sales_star(*entities, dimensions)
+    for name, [column] in columns.items():
+        sk = name.replace("dim_", "") + "_sk"
+        by_key = by_key.join(dimensions[name].select(sk, column), sk, "left")
+    assert got == rows(by_key.select(*shown))
+    assert got == [
+        ("o1", 1.0, 1.0, 2, "first", 1, None, 0, "SP"), ("o1", 1.0, 2.0, 2, "first", 1, None, 0, "SP"),
+        ("o1", 2.0, 1.0, 2, "first", -1, None, -1, None), ("o1", 2.0, 2.0, 2, "first", -1, None, -1, None),
+        ("o2", 3.0, None, -1, None, 1, None, 0, "SP"), ("o3", 4.0, None, -1, None, 1, None, 0, "SP"),
+    ]
+    # Orders move by customer, items by product and seller, and all four by order; nothing after that.
+    moved = [line.split("hashpartitioning(")[1].split("#")[0] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert sorted(moved) == sorted(["order_id"] * 4 + [e + "_sk" for e in ["customer", "product", "seller"]] * 2)

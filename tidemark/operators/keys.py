@@ -127,17 +127,24 @@ def stable_key(df: DataFrame, name: str, key: list[str], path: str) -> DataFrame
 
 
 def surrogate_key_lookup(
-    fact: DataFrame, dim: DataFrame, fact_key: str, natural_key: str, dim_sk: str, alias: str
+    fact: DataFrame, dim: DataFrame, fact_key: str, natural_key: str, dim_sk: str, alias: str,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Replace a natural key of the fact by the dimension's key, -1 where it is not there.
 
     A natural key that occurs twice in the dimension maps to its lowest key, so that the
-    fact keeps its grain.
+    fact keeps its grain. ``columns`` are those of the dimension's row with that key, null where
+    there is none. They are joined by key to the mapping, which has a row per natural key, so that
+    the fact is shuffled once at most. With them it is not lazy: the mapping is staged, which gives the
+    planner its size, as the estimate of a join would not.
     """
+    columns = columns or []
     mapping = dim.groupBy(F.col(natural_key).alias(fact_key)).agg(F.min(dim_sk).alias("_sk"))
+    if columns:
+        mapping = stage(mapping.join(dim.select(F.col(dim_sk).alias("_sk"), *columns), "_sk"), alias)
     found = F.coalesce(F.col("_sk"), F.lit(UNKNOWN_KEY).cast("long"))
     replaced = [found.alias(alias) if c == fact_key else F.col(c) for c in fact.columns]
-    return fact.join(mapping, fact_key, "left").select(*replaced)
+    return fact.join(mapping, fact_key, "left").select(*replaced, *columns)
 
 
 def orphan_keys(fact: DataFrame, dim: DataFrame, fact_key: str, natural_key: str) -> DataFrame:

@@ -23,13 +23,14 @@ NO_DELIVERY = "1900-01-01"
 
 def sales_rows(
     orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame, missing_review: str = "Negative",
-    keyed: bool = False,
+    keyed: bool = False, more_of_orders: list[str] | None = None, more_of_items: list[str] | None = None,
 ) -> DataFrame:
     """The fact without its key. ``payment_amount`` stays null where nothing was paid.
 
     The natural ids stand in for the dimensions' keys, unless orders and items are ``keyed``:
-    then these are taken over, and the ids keep their names.
+    then these are taken over, and the ids keep their names. More columns of both come last.
     """
+    more_of_orders, more_of_items = more_of_orders or [], more_of_items or []
     of_orders, of_items = ["customer_id"], ["product_id", "seller_id"]
     ids = [F.col(c).alias(c.replace("_id", "_sk")) for c in of_orders + of_items]
     if keyed:
@@ -37,9 +38,10 @@ def sales_rows(
         ids = [F.col(c) for c in of_orders + of_items]
     lines = orders_with_items(
         orders.select(
-            "order_id", *of_orders, "order_status", "order_purchase_date", "order_delivered_customer_date"
+            "order_id", *of_orders, "order_status", "order_purchase_date", "order_delivered_customer_date",
+            *more_of_orders,
         ),
-        items.select("order_id", *of_items, "price", "freight_value"),
+        items.select("order_id", *of_items, "price", "freight_value", *more_of_items),
     )
     rows = with_payments_and_reviews(
         lines,
@@ -57,6 +59,8 @@ def sales_rows(
         "payment_type",
         "review_score",
         review_sentiment(F.col("review_score"), missing_review).alias("review_sentiment"),
+        *more_of_orders,
+        *more_of_items,
     )
     return fill_nulls(rows, {"review_score": 0, "payment_type": "Unknown"})
 
@@ -67,23 +71,32 @@ def fact_sales(
     return surrogate_key(sales_rows(orders, items, payments, reviews, missing_review), "fact_sales_sk")
 
 
-def _with_key(df: DataFrame, dim: DataFrame, entity: str) -> DataFrame:
+def _with_key(df: DataFrame, dim: DataFrame, entity: str, columns: list[str]) -> DataFrame:
     copied = df.withColumn(f"{entity}_sk", F.col(f"{entity}_id"))
-    known = dim.select(F.col(f"natural_{entity}_key").alias("_natural"), F.col(f"{entity}_sk").alias("_dim_sk"))
-    return surrogate_key_lookup(copied, known, f"{entity}_sk", "_natural", "_dim_sk", f"{entity}_sk")
+    known = dim.select(
+        F.col(f"natural_{entity}_key").alias("_natural"), F.col(f"{entity}_sk").alias("_dim_sk"), *columns
+    )
+    return surrogate_key_lookup(copied, known, f"{entity}_sk", "_natural", "_dim_sk", f"{entity}_sk", columns)
 
 
 def fact_sales_star(
     orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame, dimensions: dict[str, DataFrame],
-    missing_review: str = "Negative",
+    missing_review: str = "Negative", columns: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """The rows of ``fact_sales`` with the keys of its dimensions, -1 where one lacks the id.
 
-    Keys are looked up for orders and items, before payments and reviews repeat them.
+    ``columns`` names columns of the dimensions that the rows have as well, last, by dimension; null
+    where the key is -1. Keys and these are looked up for orders and items, before payments and reviews
+    repeat them.
     """
-    items_keyed = _with_key(_with_key(items, dimensions["dim_product"], "product"), dimensions["dim_seller"], "seller")
-    orders_keyed = _with_key(orders, dimensions["dim_customer"], "customer")
-    return sales_rows(orders_keyed, items_keyed, payments, reviews, missing_review, keyed=True)
+    of = {entity: (columns or {}).get(f"dim_{entity}", []) for entity in ["customer", "product", "seller"]}
+    by_product = _with_key(items, dimensions["dim_product"], "product", of["product"])
+    items_keyed = _with_key(by_product, dimensions["dim_seller"], "seller", of["seller"])
+    orders_keyed = _with_key(orders, dimensions["dim_customer"], "customer", of["customer"])
+    return sales_rows(
+        orders_keyed, items_keyed, payments, reviews, missing_review, keyed=True,
+        more_of_orders=of["customer"], more_of_items=of["product"] + of["seller"],
+    )
 
 
 def star_orphans(orders: DataFrame, items: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
