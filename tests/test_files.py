@@ -81,6 +81,16 @@ def test_a_hot_partition_value_is_split(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/h").count() == 60_000
 
 
+def test_tables_are_written_small(spark, tmp_path):
+    df = spark.range(100).select("id", (F.col("id") % 2).cast("string").alias("k"))
+    layout.write_overwrite(df, f"{tmp_path}/a")
+    layout.write_partitioned(df, f"{tmp_path}/b", "k")
+    layout.replace_folders(df, f"{tmp_path}/c", "k", [])
+    files = parquet_files(tmp_path)
+    assert len(files) >= 5
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
 def test_compaction_merges_files_and_keeps_rows(spark, tmp_path):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 4).cast("string").alias("k"))
     df.repartition(10).write.partitionBy("k").parquet(f"{tmp_path}/many")

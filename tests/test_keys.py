@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.operators import keys
+from tidemark.session import stage
 
 
 def _numbers(df, name="sk"):
@@ -51,6 +52,36 @@ def test_rows_with_one_text_are_told_apart(spark):
     assert once == rows(keys.surrogate_key(df.repartition(3), "sk"))
 
 
+def test_rows_are_moved_once_and_without_digests(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(keys, "stage", lambda df, name, *rest: staged.append(df) or stage(df, name, *rest))
+    df = spark.range(300).select(F.col("id") % 200, F.lit("x").alias("b"))
+    keyed = keys.surrogate_key(df, "sk")
+    assert _numbers(keyed) == list(range(300))
+    assert [s.columns for s in staged] == [df.columns, ["_bucket", "_rows"]]
+    before, plan = (f._jdf.queryExecution().executedPlan().toString().split("Final Plan")[-1] for f in (staged[0], keyed))
+    assert "Exchange" not in before  # what is staged has not been grouped
+    moved = [line for line in plan.splitlines() if "Exchange" in line and "_bucket" in line]
+    assert sum("REPARTITION_BY_COL" in line for line in moved) == 1  # the rows; the others are totals of buckets
+
+
+@pytest.mark.parametrize("most", [0, 5, 50_000])
+def test_numbers_do_not_depend_on_how_copies_are_counted(spark, monkeypatch, most):
+    values = [(i % 5, c) for i in range(40) for c in (0.0, -0.0, float("nan"), 1e-9, 2.5, None)]
+    df = spark.createDataFrame(values, "a int, `c d` double")
+    text = F.col("`c d`").cast("string").alias("c")
+    zeros = df.withColumn("c d", F.col("`c d`") + 0.0)
+    monkeypatch.setattr(keys, "HOT_BUCKET_ROWS", most)
+    keyed = keys.surrogate_key(df, "sk")
+    assert _numbers(keyed) == list(range(240))
+    assert rows(keyed.select("a", text)) == rows(zeros.select("a", text))
+    runs = keyed.groupBy("a", "c d").agg(F.min("sk").alias("low"), F.max("sk").alias("high"), F.count("*").alias("n"))
+    assert runs.where("high - low + 1 <> n").isEmpty()  # copies have consecutive numbers
+    monkeypatch.setattr(keys, "HOT_BUCKET_ROWS", 0)
+    counted = keys.surrogate_key(df, "sk")
+    assert rows(keyed.select("sk", "a", text)) == rows(counted.select("sk", "a", text))
+
+
 def test_column_names_with_blanks(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y")], "`Delay Time` int, b string")
     assert _numbers(keys.surrogate_key(df, "sk")) == [0, 1]

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import shuffle_partitions, stage
+from tidemark.session import COMPRESSION, shuffle_partitions, stage
 from tidemark.sources.tables import one_row, table_or_empty
 
 BUCKET_DIGITS = 4            # 16^4 = 65,536 buckets of rows at least
 COPIES_PER_TASK = 1_000_000  # copies of one row that one task writes out
+HOT_BUCKET_ROWS = 50_000     # rows of one bucket that a task sorts, copies among them
 UNKNOWN_KEY = -1
 
 
@@ -49,35 +50,39 @@ def surrogate_key(
 
     How it is spread. The first digits of the digest are the bucket. Digests are uniform, so
     buckets are even whatever the data looks like, and no sampling pass is needed. A row's
-    number is the rows in lower buckets plus its place within its bucket. Copies are counted,
-    partially before the shuffle, and written out again at the end; a row with more than
-    ``copies_per_task`` copies is written out by several tasks. The number of buckets follows
-    that of the shuffle partitions. Neither limit changes a number.
-
-    Not lazy: the frame is computed once and staged, with the 16 bytes of the digest; the bucket
-    totals read two columns of that table.
+    number is the rows in lower buckets plus its place within its bucket. Where a row has very many
+    copies, all copies are counted, partially before the shuffle, and written out again at the end; a
+    row with more than ``copies_per_task`` copies is written out by several tasks. The number of buckets
+    follows that of the shuffle partitions. No limit changes a number.
+
+    Not lazy: the frame is computed once and staged; a first pass over that table counts the rows of
+    each bucket. Where no bucket has more than ``HOT_BUCKET_ROWS``, no row has very many copies: then the
+    rows, copies and all, are shuffled once, and without their digests, which are computed again behind it.
     """
     columns = [f"`{c}`" for c in df.columns]
-    if key:
-        groups = df.withColumn("_copies", F.lit(1).cast("long"))
-    else:
-        groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    digested = groups.withColumn("_digest", F.unhex(F.md5(row_text(df, key or df.columns))))
-    bucket = F.substring(F.hex("_digest"), 1, bucket_digits or _digits(df))
-    staged = stage(digested, name).withColumn("_bucket", bucket)
-
-    totals = staged.groupBy("_bucket").agg(F.sum("_copies").alias("_rows"))
+    staged = stage(df if key else _plain_zeros(df), name, COMPRESSION)
+    text = F.md5(row_text(staged, key or df.columns))
+    bucket = F.conv(F.substring(text, 1, bucket_digits or _digits(df)), 16, 10).cast("long")
+    totals = stage(
+        staged.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows")), f"{name}_buckets", COMPRESSION
+    )
     lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_bucket", F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_offset"))
 
-    # The join below works on the partitioning and order that the window leaves behind.
+    # The joins below work on the partitioning and order that the windows leave behind.
     place = Window.partitionBy("_bucket").orderBy("_digest", *columns)
+    most = one_row(totals.agg(F.max("_rows")))[0] or 0
+    if key or most <= min(copies_per_task, HOT_BUCKET_ROWS):
+        together = staged.withColumn("_bucket", bucket).repartition("_bucket").withColumn("_digest", F.unhex(text))
+        numbered = together.withColumn("_place", F.row_number().over(place)).join(offsets, "_bucket")
+        return numbered.select((F.col("_offset") + F.col("_place") - 1).alias(name), *columns)
+
+    groups = staged.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = stage(groups.withColumn("_digest", F.unhex(text)), f"{name}_copies", COMPRESSION)
     before = F.coalesce(F.sum("_copies").over(place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    numbered = staged.withColumn("_before", before).join(offsets, "_bucket").withColumn(
+    numbered = counted.withColumn("_bucket", bucket).withColumn("_before", before).join(offsets, "_bucket").withColumn(
         "_start", F.col("_offset") + F.col("_before")
     )
-    if key:
-        return numbered.select(F.col("_start").alias(name), *columns)
     large = F.col("_copies") > copies_per_task
     end = F.col("_start") + F.col("_copies") - 1
     small = numbered.where(~large).select(F.explode(F.sequence("_start", end)).alias(name), *columns)
@@ -92,6 +97,12 @@ def surrogate_key(
     return small.unionByName(spread)
 
 
+def _plain_zeros(df: DataFrame) -> DataFrame:
+    """Negative zeros as zeros, as grouping makes them: the two are copies of one row."""
+    fractions = [f for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({f.name: (F.col(f"`{f.name}`") + F.lit(0.0)).cast(f.dataType) for f in fractions})
+
+
 def same_key(left: str, right: str, key: list[str]) -> Column:
     """Equality of the key columns of two aliased frames; null equals null."""
     return reduce(and_, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in key])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import SHUFFLE_BYTES_PER_TASK, shuffle_partitions
+from tidemark.session import COMPRESSION, SHUFFLE_BYTES_PER_TASK, shuffle_partitions
 from tidemark.sources.tables import one_row, scan_folders, scan_table, table_bytes
 
 # Bounds the size of a file where rows are narrow and compress well.
@@ -20,7 +20,7 @@ MAX_RECORDS_PER_FILE = 20_000_000
 
 def write_overwrite(df: DataFrame, path: str) -> DataFrame:
     """Replace the table at ``path`` and read it back. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path, compression=COMPRESSION)
     return scan_table(df.sparkSession, path, df.schema)
 
 
@@ -48,7 +48,7 @@ def write_partitioned(df: DataFrame, path: str, by: str, cluster_by: str | None
         placed.write.mode("overwrite")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(by)
-        .parquet(path)
+        .parquet(path, compression=COMPRESSION)
     )
     return scan_table(df.sparkSession, path, df.schema).select(*[f"`{c}`" for c in df.columns])
 
@@ -62,7 +62,7 @@ def replace_folders(df: DataFrame, path: str, by: str, emptied: list[str]) -> Da
     """
     (
         df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(by).parquet(path)
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(by).parquet(path, compression=COMPRESSION)
     )
     return remove_folders(df, path, by, emptied)
 
@@ -187,7 +187,7 @@ def compact_files(
     table = scan_folders(spark, source, by) if by and schema is None else scan_table(spark, source, schema)
     if by:
         return write_partitioned(table, target, by, cluster_by)
-    table.hint("rebalance").write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(target)
+    table.hint("rebalance").write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(target, compression=COMPRESSION)
     return scan_table(spark, target, table.schema)
 
 
