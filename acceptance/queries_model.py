@@ -11,7 +11,7 @@ from acceptance.oracle import key_sql, kinds
 from acceptance.registry import query
 from tidemark.operators import joins, keys, quality
 from tidemark.plans import dims, facts, gold, silver, wide
-from tidemark.session import shared_dir, stage
+from tidemark.session import COMPRESSION, shared_dir, stage
 
 SALES_COLUMNS = (
     "order_id customer_sk product_sk seller_sk order_status purchase_date delivery_date sales_amount shipping_cost "
@@ -375,7 +375,8 @@ def _sales_dimensions(tables):
 ]))
 def gold_views(spark, d):
     star, flat = shared_dir(spark, "gold"), shared_dir(spark, "wide")
-    gold.write_gold(silver_tables(spark, d), star)
+    cleaned = {name: stage(df, f"silver_{name}", COMPRESSION) for name, df in silver_tables(spark, d).items()}
+    gold.write_gold(cleaned, star, stored=True)
     entities = {name: frame(spark, d, f"f_{name}") for name in gold.WIDE_TABLES if name != "fact_orders"}
     gold.write_wide(entities, fact_orders_wide(spark, d), flat)
     views = gold.publish_views(spark, star, gold.STAR_TABLES) + gold.publish_views(

@@ -99,3 +99,16 @@ def test_orphans_are_counted_once_per_key(spark):
     fact = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
     dim = spark.createDataFrame([("a",), ("a",)], "natural string")
     assert rows(keys.orphan_keys(fact, dim, "k", "natural")) == [("b", 2)]
+
+
+@pytest.mark.parametrize("most", [0, 50_000])
+def test_rows_of_stored_files_are_numbered_without_a_copy_of_them(spark, monkeypatch, most):
+    values = [(i % 50, c) for i in range(120) for c in (0.0, -0.0, float("nan"), None)]
+    df = spark.createDataFrame(values, "a int, c double")
+    stored, text = stage(df, "rows"), F.col("c").cast("string").alias("c")
+    staged = []
+    monkeypatch.setattr(keys, "HOT_BUCKET_ROWS", most)
+    want = rows(keys.surrogate_key(df, "sk").select("sk", "a", text))
+    monkeypatch.setattr(keys, "stage", lambda df, name, *rest: staged.append(name) or stage(df, name, *rest))
+    assert rows(keys.surrogate_key(stored, "sk", stored=True).select("sk", "a", text)) == want
+    assert staged == ["sk_buckets"] + ["sk_copies"] * (most == 0)

@@ -8,6 +8,7 @@ from acceptance.frames import frames
 from tests.conftest import rows
 from tidemark.operators import joins
 from tidemark.plans import facts, kpis
+from tidemark.session import side_by_side, stage
 
 ENTITIES = ["f_orders", "f_items", "f_payments", "f_reviews"]
 
@@ -120,3 +121,32 @@ def test_star_takes_columns_of_its_dimensions_without_moving_the_fact_again(spar
     # Orders move by customer, items by product and seller, and all four by order; nothing after that.
     moved = [line.split("hashpartitioning(")[1].split("#")[0] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
     assert sorted(moved) == sorted(["order_id"] * 4 + [e + "_sk" for e in ["customer", "product", "seller"]] * 2)
+
+
+def test_the_numbered_fact_takes_over_the_rows_of_the_stored_star(spark):
+    orders = spark.createDataFrame([("o1", "c1"), ("o2", "c9"), ("o3", None)], "order_id string, customer_id string").selectExpr(
+        "*", "'delivered' AS order_status", "DATE '2020-01-02' AS order_purchase_date", "CAST(NULL AS DATE) AS order_delivered_customer_date")
+    items = spark.createDataFrame(
+        [("o1", "p1", "s1", 1.0, 0.5), ("o1", "p1", "s1", 1.0, 0.5), ("o2", "p9", None, 3.0, 0.0), ("o3", None, "s1", 4.0, None)],
+        "order_id string, product_id string, seller_id string, price double, freight_value double")
+    payments = spark.createDataFrame([("o1", 1.0, "boleto"), ("o1", 2.0, "voucher")], "order_id string, payment_value double, payment_type string")
+    reviews = spark.createDataFrame([("o2", 4)], "order_id string, review_score int")
+    entities = [orders, items, payments, reviews]
+    dimensions = {f"dim_{e}": spark.createDataFrame([(f"{e[0]}1", 7), (f"{e[0]}1", 8)], f"natural_{e}_key string, {e}_sk long")
+                  for e in ["customer", "product", "seller"]}
+    star = stage(facts.fact_sales_star(*entities, dimensions), "star")
+    fact = facts.fact_sales(*entities, star=star)
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "order_purchase_date" not in plan  # nothing of the entities is read
+    joined = facts.fact_sales(*entities)
+    assert fact.schema == joined.schema and rows(fact) == rows(joined) and fact.count() == 6
+
+
+def test_steps_side_by_side_keep_their_order_and_their_error(spark):
+    def failing():
+        raise ValueError("third")
+
+    counts = [lambda n=n: spark.range(n).count() for n in (5, 3, 8)]
+    assert side_by_side(counts, 2) == [5, 3, 8]
+    with pytest.raises(ValueError, match="third"):
+        side_by_side([*counts, failing])

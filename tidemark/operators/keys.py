@@ -40,7 +40,7 @@ def _digits(df: DataFrame) -> int:
 
 def surrogate_key(
     df: DataFrame, name: str, key: list[str] | None = None, copies_per_task: int = COPIES_PER_TASK,
-    bucket_digits: int | None = None,
+    bucket_digits: int | None = None, stored: bool = False,
 ) -> DataFrame:
     """Number the rows 0, 1, 2 … in the order of the MD5 digest of their content.
 
@@ -58,9 +58,12 @@ def surrogate_key(
     Not lazy: the frame is computed once and staged; a first pass over that table counts the rows of
     each bucket. Where no bucket has more than ``HOT_BUCKET_ROWS``, no row has very many copies: then the
     rows, copies and all, are shuffled once, and without their digests, which are computed again behind it.
+    ``stored`` says that the frame only selects from files that stay as they are: it is read twice then and
+    not staged, and digests are shuffled, so that they are not worked out a third time.
     """
     columns = [f"`{c}`" for c in df.columns]
-    staged = stage(df if key else _plain_zeros(df), name, COMPRESSION)
+    rows = df if key else _plain_zeros(df)
+    staged = rows if stored else stage(rows, name, COMPRESSION)
     text = F.md5(row_text(staged, key or df.columns))
     bucket = F.conv(F.substring(text, 1, bucket_digits or _digits(df)), 16, 10).cast("long")
     totals = stage(
@@ -73,7 +76,11 @@ def surrogate_key(
     place = Window.partitionBy("_bucket").orderBy("_digest", *columns)
     most = one_row(totals.agg(F.max("_rows")))[0] or 0
     if key or most <= min(copies_per_task, HOT_BUCKET_ROWS):
-        together = staged.withColumn("_bucket", bucket).repartition("_bucket").withColumn("_digest", F.unhex(text))
+        placed, digest = staged.withColumn("_bucket", bucket), F.unhex(text)
+        if stored:
+            together = placed.withColumn("_digest", digest).repartition("_bucket")
+        else:
+            together = placed.repartition("_bucket").withColumn("_digest", digest)
         numbered = together.withColumn("_place", F.row_number().over(place)).join(offsets, "_bucket")
         return numbered.select((F.col("_offset") + F.col("_place") - 1).alias(name), *columns)
 

@@ -71,33 +71,33 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
     return surrogate_key(single, "geolocation_sk", key=place)
 
 
-def dim_order_items(items: DataFrame) -> DataFrame:
+def dim_order_items(items: DataFrame, number: Number = surrogate_key) -> DataFrame:
     filled = fill_nulls(items, {
         "order_id": UNKNOWN, "order_item_id": 0, "product_id": UNKNOWN, "seller_id": UNKNOWN,
         "price": 0.0, "freight_value": 0.0,
     })
-    return surrogate_key(filled.select(
+    return number(filled.select(
         "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value",
         "order_year", "order_month", "order_day", "order_weekday",
     ), "order_item_sk")
 
 
-def dim_order_payments(payments: DataFrame) -> DataFrame:
+def dim_order_payments(payments: DataFrame, number: Number = surrogate_key) -> DataFrame:
     filled = fill_nulls(payments, {
         "order_id": UNKNOWN, "payment_sequential": 0, "payment_type": UNKNOWN, "payment_installments": 0,
         "payment_value": 0.0,
     })
-    return surrogate_key(filled.select(
+    return number(filled.select(
         "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"
     ), "payment_sk")
 
 
-def dim_order_reviews(reviews: DataFrame) -> DataFrame:
+def dim_order_reviews(reviews: DataFrame, number: Number = surrogate_key) -> DataFrame:
     filled = fill_nulls(reviews, {
         "review_id": UNKNOWN, "order_id": UNKNOWN, "review_score": 0, "review_comment_title": UNKNOWN,
         "review_comment_message": UNKNOWN,
     })
-    return surrogate_key(filled.select(
+    return number(filled.select(
         "review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
         "review_creation_date", "review_answer_timestamp",
         "order_review_year", "order_review_month", "order_review_day",
@@ -105,7 +105,7 @@ def dim_order_reviews(reviews: DataFrame) -> DataFrame:
     ), "review_sk")
 
 
-def dim_orders(orders: DataFrame) -> DataFrame:
+def dim_orders(orders: DataFrame, number: Number = surrogate_key) -> DataFrame:
     """Dates that are missing stay null, and so do their parts."""
     events = ["purchase", "approved", "delivered_carrier", "delivered_customer", "estimated_delivery"]
     rows = rename_columns(orders, {"order_id": "natural_order_key"}).select(
@@ -114,4 +114,4 @@ def dim_orders(orders: DataFrame) -> DataFrame:
         *[f"order_{e}_{part}" for e in events for part in ["year", "month", "day"]],
     )
     filled = fill_nulls(rows, {"natural_order_key": UNKNOWN, "customer_id": UNKNOWN, "order_status": UNKNOWN})
-    return surrogate_key(filled, "order_sk")
+    return number(filled, "order_sk")

@@ -66,9 +66,16 @@ def sales_rows(
 
 
 def fact_sales(
-    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame, missing_review: str = "Negative"
+    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame, missing_review: str = "Negative",
+    star: DataFrame | None = None,
 ) -> DataFrame:
-    return surrogate_key(sales_rows(orders, items, payments, reviews, missing_review), "fact_sales_sk")
+    """The numbered rows. ``star`` is the stored ``fact_sales_star`` of the same entities, whose rows are
+    these: with it they are read from there and not joined again."""
+    if star is None:
+        return surrogate_key(sales_rows(orders, items, payments, reviews, missing_review), "fact_sales_sk")
+    ids = {"customer_id": "customer_sk", "product_id": "product_sk", "seller_id": "seller_sk"}
+    rows = star.drop(*ids.values()).withColumnsRenamed(ids)
+    return surrogate_key(rows, "fact_sales_sk", stored=True)
 
 
 def _with_key(df: DataFrame, dim: DataFrame, entity: str, columns: list[str]) -> DataFrame:

@@ -35,5 +35,5 @@ def run(
     }
     tune(spark, table_bytes(spark, [path for files in paths.values() for path in files]))
     cleaned = silver.write(raw, f"{root}/silver", f"{root}/rejected" if quarantine else None)
-    tables = gold.write_gold(cleaned, f"{root}/gold")
+    tables = gold.write_gold(cleaned, f"{root}/gold", stored=True)
     return gold.publish_views(spark, f"{root}/gold", gold.STAR_TABLES, schemas={n: df.schema for n, df in tables.items()})
