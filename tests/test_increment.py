@@ -180,3 +180,46 @@ def test_a_month_left_with_an_order_without_items_loses_its_folder(spark, sf_dir
         F.col("order_id") == second)}, root, 3)
     assert {r.order_id for r in late["fact_sales"].collect()} == {first, second}
     assert not glob.glob(f"{root.removeprefix('file://')}/gold/*/sales_month=2031-5")
+
+
+def _some_orders(spark, sf_dir, *days):
+    """Cleaned tables with only so many orders that have items, at the days given, and those items."""
+    whole = silver_tables(spark, sf_dir)
+    nothing = {name: df.limit(0) for name, df in whole.items()}
+    some = whole["orders"].join(whole["order_items"].select("order_id"), "order_id", "left_semi").orderBy("order_id").limit(len(days))
+    found = [r.order_id for r in some.orderBy("order_id").collect()]
+    day = F.element_at(F.create_map(*[F.lit(x) for pair in zip(found, days) for x in pair]), F.col("order_id")).cast("date")
+    orders = whole["orders"].where(F.col("order_id").isin(found)).withColumn("order_purchase_date", day)
+    return whole, nothing, orders, whole["order_items"].where(F.col("order_id").isin(found)), found
+
+
+def test_folders_are_told_apart_by_their_files_and_not_read_again(spark, sf_dir, monkeypatch):
+    root = shared_dir(spark, "star")
+    read = []
+    few = increment.few_values
+    monkeypatch.setattr(increment, "few_values", lambda df: read.append(df.columns) or few(df))
+    whole, nothing, orders, items, found = _some_orders(spark, sf_dir, "2031-05-05", "2031-06-06")
+    increment.load_star(spark, {**nothing, "orders": orders, "order_items": items}, root, 1)
+    moved = orders.where(F.col("order_id") == found[0]).withColumn("order_purchase_date", F.lit("2031-06-07").cast("date"))
+    for again in range(2):  # the second as after a failure, when the emptied folder of the fact is gone, and that of the mart is back
+        loaded = increment.load_star(spark, {**nothing, "orders": moved}, root, 2)
+        for table in ("fact_sales", "fact_sales_agg"):
+            assert {r.sales_month for r in loaded[table].select("sales_month").distinct().collect()} == {"2031-6"}
+        spark.range(1).write.mode("overwrite").parquet(f"{root}/gold/fact_sales_agg/sales_month=2031-5")
+    assert read == [["sales_month"]] * 3  # the touched months of each load, and nothing of the fact
+    increment.load_star(spark, {**nothing, "orders": moved}, root, 2)
+    assert not glob.glob(f"{root.removeprefix('file://')}/gold/*/sales_month=2031-5")
+
+
+@pytest.mark.parametrize("narrowing", [0, 10**9])
+def test_parts_are_sought_out_first_only_where_most_are_dropped(spark, sf_dir, monkeypatch, narrowing):
+    monkeypatch.setattr(increment, "NARROWING", narrowing)
+    root, plans = shared_dir(spark, "star"), []
+    made = increment.replace_folders
+    monkeypatch.setattr(increment, "replace_folders", lambda df, *rest: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or made(df, *rest))
+    whole, nothing, orders, items, found = _some_orders(spark, sf_dir, "2031-05-05", "2032-06-06", "2033-07-07")
+    payments = whole["order_payments"].where(F.col("order_id").isin(found))
+    increment.load_star(spark, {**nothing, "orders": orders, "order_items": items, "order_payments": payments}, root, 1)
+    last = increment.load_star(spark, {**nothing, "orders": orders.where(F.col("order_id") == found[0])}, root, 2)
+    assert rows(last["fact_sales"].select(*FACT)) == rebuilt({**nothing, "orders": orders, "order_items": items, "order_payments": payments})
+    assert ["LeftSemi" in plan for plan in plans[::2]] == [narrowing == 0] * 2
